@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterflow.llm import copies, garbled, mixing, neighbors, survivor, tokens
+from rosterflow.llm import copies, garbled, mixing, neighbors, spellings, survivor, tokens
 from rosterflow.sources.tables import table
 
 
@@ -42,6 +42,21 @@ def p3_records(spark: SparkSession, d: str) -> DataFrame:
     return took.groupBy("group_id").agg(pick("staff_count"), pick("industries"), pick("last_enrichment_sync"))
 
 
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    held = table(spark, d, "tmp_experience_input").select(F.col("raw_company_name").alias("name"))
+    return held.unionByName(table(spark, d, "tmp_company_input").select("name"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """All pairs of spellings that mean the same organisation."""
+    return spellings.spelling_pairs(_names(spark, d))
+
+
+def p5_members(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with the form it is attributed to."""
+    return spellings.organisations(_names(spark, d))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     """Pairs of vectors of which one is among the five nearest of the other."""
     return neighbors.similar_pairs(table(spark, d, "candidate_chunk_embeddings"), "id", ["model_name", "model_version"], "embedding", "is_active", "embedding_dimensions")
@@ -96,5 +111,5 @@ votes as (
 select root as group_id, field, source_id from (select *, row_number() over (partition by root, field order by trust desc, synced desc nulls last, source_id) as rn from votes) where rn = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_records": p3_records, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
+QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_records": p3_records, "p5_found": p5_found, "p5_members": p5_members, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
 SQL = {"p3_found": P3_SQL}
