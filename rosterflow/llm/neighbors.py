@@ -24,7 +24,7 @@ from rosterflow.runtime import ship, width
 
 TREES, PROBES = 2, 2
 ANCHORS, SAMPLE, PASSES = 1_024, 16_384, 4  # of all models together; passes of the fit
-BITS, BLOCK = 32, 2_048
+BITS, BLOCK = 32, 4_096
 HOT = 65_536  # vectors under one prefix that go to one task
 UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
