@@ -154,6 +154,15 @@ def _repair_with(text: str, encoding: str, depth: int = 0, sure: bool = False) -
 _lost = re.compile("[�\x80-\x84\x86-\x9f]|(?<=[a-zß-ÿ ])Ã(?=[?\\s])|â(?:€|\u0080)(?=[?\\s\\w]|$)|â‚(?!¬)|â€(?=[?])")
 
 
+_run = re.compile(r"[^\x00-\x7f]{2,}")
+
+
+@lru_cache(maxsize=131_072)
+def _reads(run: str) -> tuple[str, ...]:
+    """Encodings in which a run of characters beyond ASCII holds a span; every span lies within such a run."""
+    return tuple(e for e in ENCODINGS if any(_fixed(m[0], e) is not None for m in automaton(e).finditer(run)))
+
+
 def _inferred(text: str) -> str:
     """Two continuations that get lost on the way are the only ones their leads can lack: 0x9D and 0xA0."""
     return re.sub("Ã (?= |[\\w“(])", "à", re.sub("â€(?=[\\s.,;:!?)]|$)", "”", text).replace("Ã  ", "à "))
@@ -166,7 +175,10 @@ def repair(text: str | None) -> tuple[str | None, int, str | None, bool]:
     total, used = 0, []
     for _ in range(ROUNDS):
         best = ("", 0, None)
+        live = {e for run in set(_run.findall(text)) for e in _reads(run)}
         for e in ENCODINGS:
+            if e not in live:
+                continue
             got, n = _repair_with(text, e)
             if n and len(text) - len(got) > best[1]:
                 best = (got, len(text) - len(got), e)
