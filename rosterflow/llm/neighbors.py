@@ -61,9 +61,9 @@ def _fit(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
 class Tree:
     """Hash functions of one tree over one model."""
 
-    def __init__(self, sample: np.ndarray, total: int, seed: int) -> None:
+    def __init__(self, sample: np.ndarray, total: int, seed: int, block: int = BLOCK) -> None:
         rng = np.random.default_rng(seed)
-        k = int(max(1, min(ANCHORS, len(sample) // 8, total // 64))) if total > BLOCK else 1
+        k = int(max(1, min(ANCHORS, len(sample) // 8, total // 64))) if total > block else 1
         self.anchors = _fit(sample, k, rng)
         self.planes = rng.standard_normal((sample.shape[1], BITS)).astype(np.float32)
         # prefixes that hold many vectors by the sample's measure get more of their bits into the partition key
@@ -136,13 +136,13 @@ def _nearest(ids: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[np.ndarra
         yield ids[lo : lo + 512], [r.tobytes() for r in found]
 
 
-def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, active: str, dimensions: str, k: int = 5) -> DataFrame:
+def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, active: str, dimensions: str, k: int = 5, block: int = BLOCK) -> DataFrame:
     """(id_a, id_b), id_a < id_b: pairs of usable rows of one model of which one is among the other's k nearest.
 
     Rows that aren't usable (inactive or null flag, null vector, other length than stated, null or unusable numbers,
     norm zero) and rows with a null id are left out; a row that comes twice counts once; null model names are
     equal to each other. Equal cosines are ordered by id. Vectors of different length are never compared.
-    Approximate beyond BLOCK vectors a model. At most 1,024 models, else ValueError. Empty tables give no rows.
+    Approximate beyond ``block`` vectors a model. At most 1,024 models, else ValueError. Empty tables give no rows.
     """
     spark = df.sparkSession
     ship(spark)
@@ -170,7 +170,7 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
         if not len(x):
             x = np.ones((1, r.dims), np.float32)
         # a copy counts as a vector here; that only makes partitions smaller
-        trees[r.model] = [Tree(x, r.n, 1_000 * t + 17) for t in range(TREES if r.n > BLOCK else 1)]
+        trees[r.model] = [Tree(x, r.n, 1_000 * t + 17, block) for t in range(TREES if r.n > block else 1)]
     shared = spark.sparkContext.broadcast(trees)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +214,7 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
                 dims = (len(raw) // len(first) - 4) // 2
                 packed = np.frombuffer(raw, [("scale", "<f4"), ("q", "<i2", (dims,))])
                 ids = np.frombuffer(b"".join(part.column("key").to_pylist()), [("high", ">u8"), ("low", ">u8")])
-                for a, b in blocks(first, bits):
+                for a, b in blocks(first, bits, block):
                     x = packed["q"][a:b].astype(np.float32) * packed["scale"][a:b, None]
                     for own, lists in _nearest(ids[a:b], x, k):
                         yield pa.RecordBatch.from_arrays([pa.array([i.tobytes() for i in own], pa.binary()), pa.array(lists, pa.binary())], ["key", "near"])
@@ -229,7 +229,7 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
                 starts = np.concatenate([[0], starts])
             last, done = marks[-1], 0
             for s in starts:
-                if size + s - done >= BLOCK and (held or s > done):
+                if size + s - done >= block and (held or s > done):
                     if s > done:
                         held.append(batch.slice(done, s - done))
                     yield from work(pa.Table.from_batches(held))
