@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rosterflow.runtime import ship
+from rosterflow.runtime import ship, written
 
 c = F.col
 # Job to reference weights by number of references.
@@ -88,11 +89,14 @@ def collapse(hits: DataFrame, by: Sequence[str]) -> DataFrame:
 def funnel(texts: DataFrame, key: str, text: str, required: Sequence[str], main: Sequence[str], broad: Sequence[str], enough: int) -> DataFrame:
     """Level of each text: 1 all required words, 2 any main one, 3 any broad one; wider levels only while there is
     less than ``enough``. With the words found and the share of required words."""
-    words = F.array_distinct(F.split(F.lower(F.coalesce(c(text), F.lit(""))), r"[^\p{L}\p{N}+#]+"))
     lists = {"required": required, "main": main, "broad": broad}
-    got = texts.select(c(key).alias("key"), words.alias("w")).select("key", *[F.array_sort(F.array_intersect("w", F.array(*[F.lit(x) for x in v]))).alias(n) for n, v in lists.items()])
+    wanted = "|".join(re.escape(x) for x in sorted({*required, *main, *broad}, key=lambda x: (-len(x), x)))
+    edge = r"[\p{L}\p{N}+#]"
+    words = F.array_distinct(F.regexp_extract_all(F.lower(c(text)), F.lit(f"(?<!{edge})(?:{wanted})(?!{edge})"), F.lit(0)))
+    got = texts.where(c(text).isNotNull()).select(c(key).alias("key"), words.alias("w")).where("size(w) > 0")
+    got = got.select("key", *[F.array_sort(F.array_intersect("w", F.array(*[F.lit(x) for x in v]))).alias(n) for n, v in lists.items()])
     level = F.when(F.size("required") == len(required), 1).when(F.size("main") > 0, 2).when(F.size("broad") > 0, 3)
-    got = got.withColumn("level", level).where("level is not null")
+    got = written(got.withColumn("level", level).where("level is not null"), "funnel")  # texts are read once
     seen = got.groupBy("level").agg(F.count("*").alias("n"))
     # three rows at most
     before = F.broadcast(seen.alias("a").join(seen.alias("b"), c("b.level") < c("a.level"), "left").groupBy(c("a.level").alias("level")).agg(F.coalesce(F.sum("b.n"), F.lit(0)).alias("before")))
