@@ -111,5 +111,12 @@ votes as (
 select root as group_id, field, source_id from (select *, row_number() over (partition by root, field order by trust desc, synced desc nulls last, source_id) as rn from votes) where rn = 1
 """
 
+_quoted = lambda x: x.replace("'", "''")
+_clean = f"regexp_replace(regexp_replace(translate(raw, '{copies._WIDE}', '{_quoted(copies._PLAIN)}'), '{copies._INVISIBLE}', '', 'g'), '{copies._SPACE}', ' ', 'g')"
+_address = f"nullif(replace(regexp_extract(regexp_replace(lower({_clean}), ' ?@ ?', '@', 'g'), '{copies._ADDRESS}'), ' ', ''), '')"
+_RECORDS = f"""records as (select distinct id, {_address} as value from (select source_row_id as id, email_raw as raw from tmp_email_input union all select source_candidate_id, fallback_email_raw from tmp_candidate_input) where id is not null)"""
+P1_SQL = f"with {_RECORDS} select kept_id, id as copy_id from (select id, min(id) over (partition by value) as kept_id from records where value is not null) where id <> kept_id"
+P1_GROUPS_SQL = f"with {_RECORDS} select value as address, min(id) as kept_id, count(*) as n_records from records where value is not null group by value"
+
 QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_records": p3_records, "p5_found": p5_found, "p5_members": p5_members, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
-SQL = {"p3_found": P3_SQL}
+SQL = {"p1_found": P1_SQL, "p1_groups": P1_GROUPS_SQL, "p3_found": P3_SQL}

@@ -3,7 +3,8 @@
 A long text is cut into overlapping chunks, each pre-tokenised on its own from an arbitrary start. The
 pre-tokeniser looks ahead only, so from a position on which two passes agree they stay in step: a chunk is
 stitched to the next at the first boundary both have within the overlap, and where there is none the chunk is
-joined with the next. The pieces between the stitches are then encoded one by one. Ids of piece after piece are
+joined with the next. A stitch never follows white space, for whose tokens the end of a text would matter. The
+pieces between the stitches are then encoded one by one. Ids of piece after piece are
 those of the whole text; decoding concatenates the raw bytes of the ids.
 """
 
@@ -27,6 +28,7 @@ CHUNK, OVERLAP = 16_384, 1_024  # characters
 BATCH = 256  # texts encoded before their ids are sent on
 
 _token = regex.compile(PATTERN)
+_space = regex.compile(r"[\s\x1c-\x1f\x85\p{Cn}]")
 
 
 def pieces(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[str]:
@@ -43,7 +45,7 @@ def pieces(text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[st
                 at = next(own)
             # the next chunk's pass starts at a character of no meaning; the first common end is the stitch
             for m in _token.finditer(text, near, near + 2 * overlap):
-                if m.end() in ends and m.end() < near + 2 * overlap:
+                if m.end() in ends and m.end() < near + 2 * overlap and not _space.match(text, m.end() - 1):
                     cut = m.end()
                     break
                 if m.end() > near + overlap:
