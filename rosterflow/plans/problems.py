@@ -51,5 +51,20 @@ select entity as source_candidate_id, kind, cast(date '1970-01-01' + cast(lo as
 from both_kinds
 """
 
+_held = lambda j: f"case when json_type({j}) = 'VARCHAR' and json_valid({j} ->> '$') and json_type(cast({j} ->> '$' as json)) in ('OBJECT', 'ARRAY') then cast({j} ->> '$' as json) else {j} end"
+P4_SQL = f"""
+with recursive texts as (
+  select distinct key, cast(body as json) as j from (
+    select coalesce(source_candidate_id, '') || '|' || coalesce(source_path, '') || '|' || coalesce(cast(source_array_index as varchar), '') as key, raw_item as body from tmp_experience_input
+    union all select external_source_ref, raw_payload from tmp_source_document_input) where json_valid(body)),
+nodes as (
+  select key, '$' as path, '$' as above, {_held('j')} as j from texts
+  union all
+  select n.key, case json_type(n.j) when 'OBJECT' then n.path || '.' || e.key else n.path || '[' || e.key || ']' end,
+         case json_type(n.j) when 'OBJECT' then n.path else n.above end, {_held('e.value')}
+  from nodes n, json_each(n.j) e where json_type(n.j) in ('OBJECT', 'ARRAY'))
+select key as record_key, path as node_path, above as parent_path from nodes where json_type(j) = 'OBJECT' and path <> '$'
+"""
+
 QUERIES = {"p2_found": p2_found, "p2_malformed": p2_malformed, "p4_found": p4_found, "p7_found": p7_found}
-SQL = {"p7_found": P7_SQL}
+SQL = {"p4_found": P4_SQL, "p7_found": P7_SQL}
