@@ -60,9 +60,9 @@ atexit.register(release)
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package's modules to the executors once per application, so workers can import it."""
+    """Send this package's modules to the workers once per application, wherever it was imported from."""
     sc = spark.sparkContext
-    if sc.master.startswith("local[") or sc.master == "local" or sc.applicationId in _shipped:
+    if sc.applicationId in _shipped:
         return
     _shipped.add(sc.applicationId)
     root = Path(__file__).resolve().parent

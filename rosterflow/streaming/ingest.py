@@ -6,9 +6,13 @@ import json
 import os
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.operators.intervals import IntervalMap
+from rosterflow.runtime import ship
+
 
 def guard(folder: str, settings: dict) -> None:
     """Refuse to resume with other settings than those the output was begun with."""
@@ -65,11 +69,9 @@ def merged_intervals(stream: DataFrame, entity: str, lo: str, hi: str) -> DataFr
 
     Keyed state holds the entity's interval map; every batch inserts its rows and emits the periods.
     """
-    from rosterflow.operators.intervals import IntervalMap
+    ship(stream.sparkSession)
 
     def step(key, batches, state):
-        import pandas as pd
-
         m = IntervalMap()
         if state.exists:
             m.lo, m.hi = (list(x) for x in state.get)
