@@ -217,7 +217,7 @@ def restore(df: DataFrame, key: str, text: str) -> DataFrame:
 
 # Single-byte encodings that are taken for each other.
 SINGLE = ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "cp852", "mac_roman", "koi8_r", "iso8859_5", "cp866", "cp1253")
-TIMES, LEAST = 20, 20  # a reading must occur this many times as often as the word, and in so many texts at least
+TIMES, LEAST = 10, 10  # a reading must occur this many times as often as the word, and in so many texts at least
 
 
 def readings(word: str) -> dict[str, str]:
