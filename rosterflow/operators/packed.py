@@ -101,17 +101,18 @@ def parse(text: str | None) -> list[tuple[str, str, bool]]:
         text, at, end, kind = body, 1, len(body) - 1, "bracketed"
     pairs = _pairs(text) if "(" in text else {}
     out: list[tuple[str, str, bool]] = []
-    fresh = True  # at the start of a line, where a list mark may stand
+    fresh, numbered = True, False  # at the start of a line, where a list mark may stand; in a numbered list at any value
     while at < end:
         c = text[at]
         if c in SEPARATORS or c.isspace():
-            fresh = fresh or c in "\n\x85  •·‣▪◦●"
+            fresh = fresh or numbered or c in "\n\x85  •·‣▪◦●"
             at += 1
             continue
         if c == "/" and (at + 1 >= end or text[at + 1].isspace()) and (at == 0 or text[at - 1].isspace()):
             at += 1
             continue
         if fresh and (m := _mark.match(text, at, end)) and m.end() > at:
+            numbered = numbered or not out and m[0].strip()[0] == "1"
             at, fresh = m.end(), False
             continue
         fresh, malformed = False, False

@@ -16,6 +16,7 @@ CASES = [
     ('["Fran\\u00e7ais", "Support \\"tier 2\\" desk", "SEO; certified"]', ["Français", 'Support "tier 2" desk', "SEO; certified"]),
     ('{CAD,"Quality control",C++}', ["CAD", "Quality control", "C++"]),
     ("1.) Git\n2.) .NET\n3.) 3D modelling", ["Git", ".NET", "3D modelling"]),
+    ("1) Git, 2) Scala, 24/7 operations", ["Git", "Scala", "24/7 operations"]),
     ("- Java\r\n- GMP", ["Java", "GMP"]),
     ("•Go\n•  R \n• “Lean / Six Sigma”", ["Go", "R", "Lean / Six Sigma"]),
     ("Top skills: Git，SQL、R", ["Git", "SQL", "R"]),
