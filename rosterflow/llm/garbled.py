@@ -109,7 +109,7 @@ def _strong(text: str, lo: int, hi: int, span: str, out: str, encoding: str) ->
     far = ord(out[0]) >= 0x0300 and not _common.match(out[0])
     if encoding == "cp1251":
         touching = bool(_ascii_letter.match(before) or _ascii_letter.match(after))
-        odd = any(c not in CLOSERS and c not in CYRILLIC_OWN for c in conts)
+        odd = any(c in "§°®™" or c not in CLOSERS and c not in CYRILLIC_OWN for c in conts)
         if first >= 0xE0 and not _common.match(out[0]):
             return odd and sequences >= 2
         return odd or touching or sequences >= 3
