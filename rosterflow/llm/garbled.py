@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -220,9 +221,9 @@ SINGLE = ("cp1252", "latin-1", "cp1250", "cp1251", "cp437", "cp850", "cp852", "m
 TIMES, LEAST = 10, 10  # a reading must occur this many times as often as the word, and in so many texts at least
 
 
-def readings(word: str) -> dict[str, str]:
-    """Other readings of a word -> the encodings (read, meant) that give it."""
-    out: dict[str, str] = {}
+def readings(word: str) -> dict[str, list[str]]:
+    """Other readings of a word -> the encodings (read>meant) that give it."""
+    out: dict[str, list[str]] = {}
     for read in SINGLE:
         try:
             raw = word.encode(read)
@@ -234,7 +235,7 @@ def readings(word: str) -> dict[str, str]:
             except UnicodeDecodeError:
                 continue
             if other != word:
-                out.setdefault(other, f"{read}>{meant}")
+                out.setdefault(other, []).append(f"{read}>{meant}")
     return out
 
 
@@ -242,27 +243,56 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = [(w, n, r, e) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for r, e in readings(w).items()]
         cols = list(zip(*rows)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], ["word", "n", "meant", "reading"])
+        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.list_(pa.string()))], ["word", "n", "meant", "pairs"])
+
+
+def judged(words: list[dict]) -> list[tuple[str, str, str]]:
+    """(word, meant, reading) of one text's words that are taken for misread.
+
+    A word with a letter, or with a control where a letter should be, speaks for itself. Marks alone ('®', '§9') are ordinary
+    in clean texts however common their reading is, so they need another word misread by the same encodings.
+    """
+    votes = Counter(p for w in words for p in {p for way in w["ways"] for p in way["pairs"]})
+    out = []
+    for w in words:
+        word = w["word"]
+        _, _, meant, reading = min((-votes[p], -way["m"], way["meant"], p) for way in w["ways"] for p in way["pairs"])
+        if votes[reading] > 1 or any(c.isalpha() or "\x80" <= c <= "\x9f" for c in word):
+            out.append((word, meant, reading))
+    return out
+
+
+def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        at, cols = [], ([], [], [])
+        for i, words in enumerate(batch.column("words").to_pylist()):
+            for row in judged(words):
+                at.append(i)
+                for col, x in zip(cols, row):
+                    col.append(x)
+        yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int32())), *[pa.array(x, pa.string()) for x in cols]], ["key", "word", "meant", "reading"])
 
 
 def misread(texts: DataFrame) -> DataFrame:
     """(key, word, meant, reading): words of texts (key, text) that were read in the wrong single-byte encoding.
 
     Words are runs without white space that hold a character beyond ASCII, digits all written as 9. Counts
-    are those of all texts. Of several readings the commonest wins, then the first by order.
+    are those of all texts. What the words of one text say together decides; see ``judged``.
     """
     ship(texts.sparkSession)
     digits = F.regexp_replace("text", "[0-9]+", "9")
     words = texts.where("key is not null").select("key", F.explode(F.array_distinct(F.regexp_extract_all(digits, F.lit("\\S*[^\\x00-\\x7F\\s]\\S*"), F.lit(0)))).alias("word"))
     counts = written(words.groupBy("word").agg(F.count("*").alias("n")), "words")
-    other = counts.mapInArrow(_readings, "word string, n bigint, meant string, reading string")
+    other = counts.mapInArrow(_readings, "word string, n bigint, meant string, pairs array<string>")
     known = counts.where(F.col("n") >= LEAST).select(F.col("word").alias("meant"), F.col("n").alias("m"))
     better = other.join(known, "meant").where(F.col("m") >= TIMES * F.col("n"))
-    best = better.groupBy("word").agg(F.min(F.struct((-F.col("m")).alias("m"), "meant", "reading")).alias("best")).select("word", "best.meant", "best.reading")
+    ways = better.groupBy("word").agg(F.array_sort(F.collect_set(F.struct("meant", "m", "pairs"))).alias("ways"))
     # the 1,000 commonest words that can't be misread are taken out first, so that no hot word is shuffled
     top = counts.agg(F.max("n").alias("top"))
     common = counts.crossJoin(top).where(F.col("n") * TIMES > F.col("top")).orderBy(F.desc("n"), "word").limit(1_000).select("word")
-    return words.join(F.broadcast(common), "word", "left_anti").join(best, "word").select("key", "word", "meant", "reading")
+    hits = words.join(F.broadcast(common), "word", "left_anti").join(ways, "word")
+    of_text = hits.groupBy("key").agg(F.collect_set(F.struct("word", "ways")).alias("words"))
+    return of_text.mapInArrow(_judged, f"key {of_text.schema['key'].dataType.simpleString()}, word string, meant string, reading string")
 
 
 def garbled(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -296,6 +296,14 @@ def test_garbled_table(spark):
     assert garbled.garbled(df.limit(0), "doc_id", "text").count() == 0
 
 
+def test_lone_marks_prove_nothing(spark):
+    rows = [(i, "Ltd ™ ® © all") for i in range(20)] + [(100 + i, "Москва и Киев") for i in range(220)] + [(400 + i, "• Günter") for i in range(40)]
+    rows += [(900, "¥ GŸnter")]  # here the mark has a word that was misread the same way beside it
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.key for r in garbled.garbled(df, "doc_id", "text").collect()] == [900]
+    assert [r.restored for r in garbled.restored_texts(df, "doc_id", "text").collect()] == ["• Günter"]
+
+
 def test_automaton_takes_well_formed_spans_only():
     back = garbled._bytes_of("latin-1")[1]
     found = garbled.automaton("latin-1").findall("".join(map(chr, b"\xc3\xbc \xc0\x80 \xe0\x80\x80 \xed\xa0\x80 \xf0\x9f\x98\x80 \xf5\x80")))
