@@ -8,7 +8,8 @@ adjoining marks. What lies outside the spans is not touched. U+FFFD, or a lead w
 was lost, marks text that can't be recovered.
 
 Text of one single-byte encoding read as another has no multibyte structure. ``misread`` finds it by the same way back
-to bytes, word by word: a word is misread if, of its other readings, one occurs far more often in the whole corpus.
+to bytes, word by word: a word is misread if, of its other readings, one occurs far more often in the whole corpus, or if
+several words of its text turn into commoner or less odd ones by one pair of encodings.
 """
 
 from __future__ import annotations
@@ -246,53 +247,112 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.list_(pa.string()))], ["word", "n", "meant", "pairs"])
 
 
-def judged(words: list[dict]) -> list[tuple[str, str, str]]:
-    """(word, meant, reading) of one text's words that are taken for misread.
+# Marks that join the parts of an ordinary word; what stands around words in ASCII.
+JOINS = set("’‑·–­")
+_EDGES = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
 
-    A word with a letter, or with a control where a letter should be, speaks for itself. Marks alone ('®', '§9') are ordinary
-    in clean texts however common their reading is, so they need another word misread by the same encodings.
+
+def _script(c: str) -> str:
+    return "LATIN" if c < "\u0250" else unicodedata.name(c, "?").split()[0]
+
+
+@lru_cache(maxsize=65_536)
+def odd(word: str) -> int:
+    """Places of a word that no writing has: controls, marks between letters, capitals after small ones, mixed scripts."""
+    n = 0
+    for i, c in enumerate(word):
+        before, after = word[i - 1 : i] if i else "", word[i + 1 : i + 2]
+        if "\x80" <= c <= "\x9f":
+            n += 1
+        elif c > "\x7f" and not c.isalpha() and c not in JOINS and unicodedata.category(c)[0] != "M" and before.isalpha() and after.isalpha():
+            n += 1
+        elif before.isalpha() and c.isalpha() and max(before, c) > "\x7f":
+            n += before.islower() and c.isupper() or _script(before) != _script(c)
+    return n
+
+
+def plausible(word: str, n: int, ways: list[dict]) -> list[dict]:
+    """The readings of a word that may be meant: commoner and no odder, or less odd; ``strong`` are those TIMES as common."""
+    out = []
+    for w in ways:
+        less = odd(w["meant"]) - odd(word)
+        if w["m"] >= TIMES * n or less < 0 or less == 0 and w["m"] > n:
+            out.append({**w, "n": n, "strong": w["m"] >= TIMES * n})
+    return out
+
+
+WAYS = pa.list_(pa.struct([("meant", pa.string()), ("m", pa.int64()), ("pairs", pa.list_(pa.string())), ("n", pa.int64()), ("strong", pa.bool_())]))
+
+
+def _plausible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [(w, plausible(w, n, ways)) for w, n, ways in zip(*(batch.column(x).to_pylist() for x in ("word", "n", "ways")))]
+        rows = [r for r in rows if r[1]]
+        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], WAYS)], ["word", "ways"])
+
+
+def judged(words: list[dict]) -> list[tuple[str, str, str, int, bool]]:
+    """(word, meant, reading, n, sure) of the words of one text that may be misread; ``sure`` if the text itself proves it.
+
+    A text was read wrongly by a pair of encodings if two words of three characters, with letters, say so; then all its words that
+    the pair explains are taken. Else a word needs a strong reading. One with a letter, or with a control where a letter
+    should be, then speaks for itself. Marks alone ('®', '§9') are ordinary in clean texts however common their
+    reading is, so they need another word misread by the same encodings.
     """
-    votes = Counter(p for w in words for p in {p for way in w["ways"] for p in way["pairs"]})
+    lettered = lambda x: any(c.isalpha() for c in x)
+    votes: Counter = Counter()
+    others: Counter = Counter()
+    for w in words:
+        for way in w["ways"]:
+            for p in way["pairs"]:
+                votes[p] += len(w["word"]) > 2 and lettered(w["word"]) and lettered(way["meant"])
+                others[p] += way["strong"]
     out = []
     for w in words:
         word = w["word"]
-        _, _, meant, reading = min((-votes[p], -way["m"], way["meant"], p) for way in w["ways"] for p in way["pairs"])
-        if votes[reading] > 1 or any(c.isalpha() or "\x80" <= c <= "\x9f" for c in word):
-            out.append((word, meant, reading))
+        *_, reading, way = min(((-votes[p], -others[p], -way["m"], way["meant"], p, way) for way in w["ways"] for p in way["pairs"]), key=lambda x: x[:5])
+        own = lettered(word) or any("\x80" <= c <= "\x9f" for c in word)
+        out.append((word, way["meant"], reading, way["n"], votes[reading] > 1 or way["strong"] and (own or others[reading] > 1)))
     return out
 
 
 def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        at, cols = [], ([], [], [])
+        at, cols = [], ([], [], [], [], [])
         for i, words in enumerate(batch.column("words").to_pylist()):
             for row in judged(words):
                 at.append(i)
                 for col, x in zip(cols, row):
                     col.append(x)
-        yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int32())), *[pa.array(x, pa.string()) for x in cols]], ["key", "word", "meant", "reading"])
+        kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int32())), *[pa.array(x, t) for x, t in zip(cols, kinds)]], ["key", "word", "meant", "reading", "n", "sure"])
 
 
 def misread(texts: DataFrame) -> DataFrame:
     """(key, word, meant, reading): words of texts (key, text) that were read in the wrong single-byte encoding.
 
-    Words are runs without white space that hold a character beyond ASCII, digits all written as 9. Counts
-    are those of all texts. What the words of one text say together decides; see ``judged``.
+    Words are runs without white space that hold a character beyond ASCII, without the ASCII punctuation around them, digits all
+    written as 9. Counts are those of all texts. What the words of one text say together decides (``judged``); a word that is
+    proven so in half of its texts is taken in the others, too.
     """
     ship(texts.sparkSession)
     digits = F.regexp_replace("text", "[0-9]+", "9")
-    words = texts.where("key is not null").select("key", F.explode(F.array_distinct(F.regexp_extract_all(digits, F.lit("\\S*[^\\x00-\\x7F\\s]\\S*"), F.lit(0)))).alias("word"))
+    found = F.regexp_extract_all(digits, F.lit("\\S*[^\\x00-\\x7F\\s]\\S*"), F.lit(0))
+    words = texts.where("key is not null").select("key", F.explode(F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, _EDGES, "")))).alias("word"))
     counts = written(words.groupBy("word").agg(F.count("*").alias("n")), "words")
     other = counts.mapInArrow(_readings, "word string, n bigint, meant string, pairs array<string>")
     known = counts.where(F.col("n") >= LEAST).select(F.col("word").alias("meant"), F.col("n").alias("m"))
-    better = other.join(known, "meant").where(F.col("m") >= TIMES * F.col("n"))
-    ways = better.groupBy("word").agg(F.array_sort(F.collect_set(F.struct("meant", "m", "pairs"))).alias("ways"))
-    # the 1,000 commonest words that can't be misread are taken out first, so that no hot word is shuffled
-    top = counts.agg(F.max("n").alias("top"))
-    common = counts.crossJoin(top).where(F.col("n") * TIMES > F.col("top")).orderBy(F.desc("n"), "word").limit(1_000).select("word")
+    better = other.join(known, "meant").groupBy("word", "n").agg(F.array_sort(F.collect_set(F.struct("meant", "m", "pairs"))).alias("ways"))
+    ways = written(better.mapInArrow(_plausible, "word string, ways array<struct<meant: string, m: bigint, pairs: array<string>, n: bigint, strong: boolean>>"), "ways")
+    # the 1,000 commonest words that can't be misread are taken out first, so that no hot word is shuffled for nothing
+    common = counts.join(ways, "word", "left_anti").orderBy(F.desc("n"), "word").limit(1_000).select("word")
     hits = words.join(F.broadcast(common), "word", "left_anti").join(ways, "word")
     of_text = hits.groupBy("key").agg(F.collect_set(F.struct("word", "ways")).alias("words"))
-    return of_text.mapInArrow(_judged, f"key {of_text.schema['key'].dataType.simpleString()}, word string, meant string, reading string")
+    rows = written(of_text.mapInArrow(_judged, f"key {of_text.schema['key'].dataType.simpleString()}, word string, meant string, reading string, n bigint, sure boolean"), "judged")
+    # of a word every text has its own best reading; the one proven in half of them is a single one
+    proven = rows.groupBy("word", "meant").agg(F.count_if("sure").alias("sure"), F.max("n").alias("n"), F.min(F.when(F.col("sure"), F.col("reading"))).alias("how")).where("sure * 2 > n and sure > 1").select("word", "meant", "how")
+    also = rows.where("not sure").drop("meant", "reading").join(proven, "word").select("key", "word", "meant", F.col("how").alias("reading"))
+    return rows.where("sure").select("key", "word", "meant", "reading").unionByName(also)
 
 
 def garbled(df: DataFrame, key: str, text: str) -> DataFrame:
@@ -318,7 +378,7 @@ def restored_texts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _put_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    word = re.compile(r"\S*[^\x00-\x7f\s]\S*")
+    word, edges = re.compile(r"\S*[^\x00-\x7f\s]\S*"), re.compile(_EDGES)
     for batch in batches:
         cols = {n: batch.column(n).to_pylist() for n in ("words", "text", "lossy")}
         out = []
@@ -327,7 +387,7 @@ def _put_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             meant = {w["word"]: w for w in words or ()}
 
             def one(m: re.Match) -> str:
-                w = meant.get(re.sub("[0-9]+", "9", m[0]))
+                w = meant.get(edges.sub("", re.sub("[0-9]+", "9", m[0])))
                 if not w:
                     return m[0]
                 read, as_ = w["reading"].split(">")

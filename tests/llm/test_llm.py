@@ -304,6 +304,17 @@ def test_lone_marks_prove_nothing(spark):
     assert [r.restored for r in garbled.restored_texts(df, "doc_id", "text").collect()] == ["• Günter"]
 
 
+def test_a_source_read_wrongly_as_a_whole(spark):
+    names = ["München", "Zürich", "Göteborg", "Größe", "für", "geprüft", "zuverlässig"]
+    good = [f"{a}, {b}. Ende – {c}" for a in names for b in names for c in names if len({a, b, c}) == 3]
+    bad = [t.encode("cp1252").decode("mac_roman") for t in good[::2]]
+    lone = "Nur München!".encode("cp1252").decode("mac_roman")  # proven by the other texts
+    df = spark.createDataFrame([*enumerate(good), *((1000 + i, t) for i, t in enumerate(bad)), (5000, lone)], "doc_id long, text string")
+    assert {r.key for r in garbled.garbled(df, "doc_id", "text").collect()} == {1000 + i for i in range(len(bad))} | {5000}
+    fixed = {r.key: r.restored for r in garbled.restored_texts(df, "doc_id", "text").collect()}
+    assert fixed == {1000 + i: t for i, t in enumerate(good[::2])} | {5000: "Nur München!"}
+
+
 def test_automaton_takes_well_formed_spans_only():
     back = garbled._bytes_of("latin-1")[1]
     found = garbled.automaton("latin-1").findall("".join(map(chr, b"\xc3\xbc \xc0\x80 \xe0\x80\x80 \xed\xa0\x80 \xf0\x9f\x98\x80 \xf5\x80")))
