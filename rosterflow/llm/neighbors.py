@@ -4,7 +4,8 @@ Every tree gives a vector long hash strings: a first symbol, the nearest of ANCH
 sample of the model's vectors (and a second string from the second nearest), then BITS signs of random projections. A
 tree is the array of all vectors sorted by hash string, cut over the tasks. Descending, a range of equal prefix
 is divided symbol by symbol until at most BLOCK vectors are left; ranges that got too small ascend again by
-being taken together with their siblings up to BLOCK. Within a block all vectors are compared, and the best of all
+being taken together with their siblings up to BLOCK; more vectors with one and the same string are divided by
+directions of their own (``divided``). Within a block all vectors are compared, and the best of all
 trees are merged per vector. A model with no more than BLOCK vectors is one block, so its result is exact.
 
 Only sample and anchors, both of bounded size, touch the driver. Vectors travel as 16-bit integers with a scale
@@ -26,6 +27,7 @@ TREES, PROBES = 2, 2
 ANCHORS, SAMPLE, PASSES = 1_024, 16_384, 4  # of all models together; passes of the fit
 BITS, BLOCK = 32, 4_096
 HOT = 65_536  # vectors under one prefix that go to one task
+AXES, TURNS = 32, 4  # directions that divide a range of one hash string, and how often it is divided
 UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
 
@@ -70,15 +72,32 @@ class Tree:
         first = (sample @ self.anchors.T).argmax(axis=1)
         held = np.bincount(first, minlength=k) * (PROBES * total / max(1, len(sample)))
         self.depth = np.clip(np.ceil(np.log2(np.maximum(held / HOT, 1))), 0, BITS).astype(np.int64)
-        # identical hash strings can't be divided by bits; they are spread by id
+        # identical hash strings can't be divided by bits of this tree; their vectors get bits of their own, centred on them
         bits = self.bits(sample)
         _, where, count = np.unique(np.stack([first.astype(np.uint64), bits], axis=1), axis=0, return_inverse=True, return_counts=True)
         same = count[where.reshape(-1)] * (total / max(1, len(sample)))
-        self.spread = {(int(f), int(b)): int(s // HOT) + 1 for f, b, s in zip(first, bits, same) if s > HOT}
+        self.spread: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for f, b, s in zip(first, bits, same):
+            if s > HOT and (int(f), int(b)) not in self.spread:
+                mine = sample[(first == f) & (bits == b)]
+                centre, axes = _axes(mine)
+                depth = min(30, int(np.ceil(np.log2(s / HOT))))
+                turned = axes @ _turn(axes.shape[1], rng)[:, :depth]
+                self.spread[int(f), int(b)] = centre, turned, np.median((mine - centre) @ turned, axis=0)
 
     def bits(self, x: np.ndarray) -> np.ndarray:
         return ((x @ self.planes > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.uint64))).astype(np.uint64)
 
+    def share(self, x: np.ndarray, first: np.ndarray, bits: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        """Number of the share of each vector among those of its hash string; copies, which lie on an edge, go by id."""
+        out = np.zeros(len(x), np.int64)
+        for (f, b), (centre, axes, middle) in self.spread.items():
+            at = np.flatnonzero((first == f) & (bits == b))
+            off = (x[at] - centre) @ axes - middle
+            own = (salt[at, None] >> np.arange(axes.shape[1])) & 1
+            out[at] = np.where(np.abs(off) < 1e-6, own, off > 0) @ (1 << np.arange(axes.shape[1]))
+        return out
+
     def symbols(self, x: np.ndarray) -> Iterator[np.ndarray]:
         near = x @ self.anchors.T
         rows = np.arange(len(x))
@@ -88,13 +107,50 @@ class Tree:
             near[rows, best] = -np.inf
 
 
-def blocks(first: np.ndarray, bits: np.ndarray, size: int = BLOCK) -> list[tuple[int, int]]:
-    """Ranges of a sorted array of hash strings that are compared: prefixes of variable length."""
+def _axes(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Centre of some vectors and the directions in which they differ most."""
+    centre = x.mean(axis=0)
+    _, axes = np.linalg.eigh(np.atleast_2d(np.cov((x - centre).T, bias=True)))
+    return centre, axes[:, -AXES:].astype(np.float32)
+
+
+def _turn(n: int, rng: np.random.Generator) -> np.ndarray:
+    return np.linalg.qr(rng.standard_normal((n, n)))[0].astype(np.float32)
+
+
+def divided(x: np.ndarray, size: int = BLOCK, seed: int = 0) -> Iterator[np.ndarray]:
+    """Places of at most ``size`` vectors of a range that share a whole hash string, each vector TURNS times.
+
+    The vectors are centred on the range and halved at the median of the direction in which they differ most, until
+    they fit; each turn takes other directions, so that neighbours parted by one edge meet in another turn.
+    """
+    rng = np.random.default_rng(seed)
+    centre, axes = _axes(x[rng.choice(len(x), min(len(x), SAMPLE), replace=False)])
+    off = (x - centre) @ axes
+    for turn in range(TURNS):
+        y = off @ _turn(off.shape[1], rng) if turn else off
+        todo = [np.arange(len(x))]
+        while todo:
+            at = todo.pop()
+            if len(at) <= size:
+                yield at
+                continue
+            order = np.argpartition(y[at, y[at].var(axis=0).argmax()], len(at) // 2)
+            todo += [at[order[: len(at) // 2]], at[order[len(at) // 2 :]]]
+
+
+def blocks(first: np.ndarray, bits: np.ndarray, size: int = BLOCK, whole: bool = False) -> list[tuple[int, int]]:
+    """Ranges of a sorted array of hash strings that are compared: prefixes of variable length.
+
+    More than ``size`` equal strings are cut as they lie, or stay ``whole`` for ``divided``.
+    """
     leaves: list[tuple[int, int]] = []
 
     def descend(lo: int, hi: int, bit: int) -> None:
         if hi - lo <= size:
             leaves.append((lo, hi))
+        elif bit == BITS and whole:
+            leaves.append((lo, hi))
         elif bit == BITS:
             leaves.extend((max(lo, min(a, hi - size)), min(a + size, hi)) for a in range(lo, hi, size))
         else:
@@ -195,7 +251,7 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
                         cut = tree.depth[first].astype(np.uint64)
                         part_of = np.where(cut > 0, bits >> (np.uint64(BITS) - np.maximum(cut, 1)), 0).astype(np.int64)
                         if tree.spread:
-                            part_of += np.array([(s % tree.spread.get((int(f), int(b)), 1)) << 33 for f, b, s in zip(first, bits, salt)], np.int64)
+                            part_of += tree.share(x, first, bits, salt) << 33
                         n = len(x)
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(n, m)), pa.array(np.full(n, t, np.int32)), pa.array(first.astype(np.int32)), pa.array(part_of), pa.array(bits.astype(np.int64)), ids, body], ["model", "tree", "first", "part", "bits", "key", "body"])
 
@@ -214,9 +270,10 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
                 dims = (len(raw) // len(first) - 4) // 2
                 packed = np.frombuffer(raw, [("scale", "<f4"), ("q", "<i2", (dims,))])
                 ids = np.frombuffer(b"".join(part.column("key").to_pylist()), [("high", ">u8"), ("low", ">u8")])
-                for a, b in blocks(first, bits, block):
+                for a, b in blocks(first, bits, block, True):
                     x = packed["q"][a:b].astype(np.float32) * packed["scale"][a:b, None]
-                    for own, lists in _nearest(ids[a:b], x, k):
+                    parts = [slice(None)] if b - a <= block else divided(x, block, int(first[a]) * TREES + int(tree[lo]))
+                    for own, lists in (got for at in parts for got in _nearest(ids[a:b][at], x[at], k)):
                         yield pa.RecordBatch.from_arrays([pa.array([i.tobytes() for i in own], pa.binary()), pa.array(lists, pa.binary())], ["key", "near"])
 
         size, last = 0, None

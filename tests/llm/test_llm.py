@@ -167,6 +167,38 @@ def test_neighbours_of_equal_vectors_and_of_none(spark):
     assert neighbors.similar_pairs(df.limit(1), "id", ["model_name"], "embedding", "is_active", "embedding_dimensions").count() == 0
 
 
+def _dense(n, dims, seed):
+    rng = np.random.default_rng(seed)
+    centre = rng.standard_normal(dims)
+    return (centre + 0.02 * rng.standard_normal((n, 4)) @ rng.standard_normal((4, dims))).astype(np.float32)
+
+
+def test_neighbours_in_one_dense_cluster(spark):
+    x = np.concatenate([_dense(500, 24, 3), _vectors(500, 24, 4)])
+    name = lambda i: f"{i * 7919 % 99991:08x}-0000-4000-8000-{i:012x}"
+    rows = [(name(i), "a", "1", v.tolist(), True, 24, 1, "k") for i, v in enumerate(x)]
+    got = {tuple(r) for r in neighbors.similar_pairs(spark.createDataFrame(rows, VECTORS), "id", ["model_name", "model_version"], "embedding", "is_active", "embedding_dimensions", block=32).collect()}
+    want = _pairs([r[0] for r in rows], x)
+    dense = {name(i) for i in range(500)}
+    mine = {p for p in want if p[0] in dense and p[1] in dense}
+    assert len(got & mine) / len(mine) >= 0.85
+
+
+def test_equal_strings_are_spread_by_content(monkeypatch):
+    monkeypatch.setattr(neighbors, "HOT", 500)
+    x, salt = _dense(4000, 24, 5), np.arange(4000)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    tree = neighbors.Tree(x, 4000, 1, 10_000)
+    first, bits = next(tree.symbols(x)), tree.bits(x)
+    share = tree.share(x, first, bits, salt)
+    s = x.astype(np.float64) @ x.T.astype(np.float64)
+    np.fill_diagonal(s, -2)
+    assert tree.spread and len(set(share)) > 1 and np.mean(share[s.argmax(axis=1)] == share) > 0.7
+    same = np.repeat(x[:1], 4000, axis=0)  # copies have no content to go by
+    tree = neighbors.Tree(same, 4000, 1, 10_000)
+    assert len(set(tree.share(same, next(tree.symbols(same)), tree.bits(same), salt))) == 8
+
+
 def test_blocks_cover_everything():
     rng = np.random.default_rng(0)
     first, bits = np.sort(rng.integers(0, 5, 3000)), np.zeros(3000, np.uint64)
