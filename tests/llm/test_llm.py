@@ -106,6 +106,27 @@ def test_spellings(spark):
     assert spellings.spelling_pairs(df.limit(0)).count() == 0
 
 
+APART = [[("Acme", 1000), ("Acme Widgets", 1)], [("Sony", 1000), ("Sonny", 900)], [("Apple", 2000), ("Apple Bank", 2)], [("Robert Zukor Consulting", 9), ("Richard Zukor Consulting", 1)], [("Stratus Consulting", 1), ("Stratus Brewing", 1000)]]
+TOGETHER = [[("Nimbus Dentistry", 9), ("Nimbus Dent.", 1)], [("Nimbus Brewing", 9), ("Nimbus Brew.", 1)], [("Charles Kowal Consulting", 9), ("Chuck Kowal Consulting", 1)], [("Jennifer Kowal Law", 9), ("Jenny Kowal Law", 2)], [("Bartholomew Orly Roofing", 3), ("Bart Orly Roofing", 3)], [("Tolver Heka Masonry", 4), ("Masonry Tolver Heka", 1)]]
+
+
+def test_self_is_a_candidate_and_lists_gate_nothing(spark):
+    df = spark.createDataFrame([(n,) for g in APART + TOGETHER for n, k in g for _ in range(k)], "name string")
+    got = {tuple(r) for r in spellings.spelling_pairs(df).collect()}
+    assert got == {tuple(sorted(n for n, _ in g)) for g in TOGETHER}
+
+
+@pytest.mark.parametrize("a,b,same", [("jenny", "jennifer", True), ("bart", "bartholomew", True), ("chuck", "charles", True), ("robert", "richard", False), ("charlotte", "charles", False), ("jonathan", "jennifer", False)])
+def test_nicknames(a, b, same):
+    assert spellings.nickname(a, b) == spellings.nickname(b, a) == same
+
+
+def test_rates_are_learned(spark):
+    rows = [("v", "c", 1, 50, [1, 0, 0, 0, 0, 0, 0], -12.0), ("w", "c", 5, 50, [0, 0, 1, 0, 0, 0, 0], -12.0)]
+    rates = spellings.channel(spark.createDataFrame(rows, "v string, c string, nv bigint, nc bigint, errors array<int>, chance double"), 10_000, [0.0] * spellings.SEEN)
+    assert rates["typo"] < spellings.RATES["typo"] and rates["typo"] < rates["lost"] < 0 and rates["initial"] < spellings.RATES["initial"]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("abc", max_size=7), st.text("abc", max_size=7))
 def test_one_error(a, b):
