@@ -1,12 +1,12 @@
 """Duplicates hidden by formatting: recursive radix partitioning of canonical bytes, counting tries.
 
 1. A record's field becomes canonical bytes (for addresses: ``mail_address``), written once.
-2. Radix partitioning: buckets are byte prefixes. Buckets with more than LIMIT records are split by
-   further bytes, past the prefix that all their values share, until each fits. Only the prefixes of
-   oversized buckets reach the driver, at most MAX_SPLITS a round.
+2. Radix partitioning: buckets are byte prefixes. A bucket with more than LIMIT records is split by further bytes, past
+   the prefix that all its values share, and so on until each fits, whatever the size of the table. Only records
+   of oversized buckets are read again; the list of those buckets is a table, too, and never on the driver.
 3. A single value with more records than fit in a bucket can't be split by bytes; its records are spread by
-   a hash of the record id and its partial results joined again.
-4. Every bucket is read into a trie whose terminal counters hold the least id and the ids of a value.
+   a hash of the record id and the partial counters are added up.
+4. Every bucket is read into a trie whose terminal counters hold the number of records of a value and the least id.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from rosterflow.runtime import ship, width, written
 
 LIMIT = 50_000  # records that fit in a bucket
-MAX_SPLITS = 1_024  # oversized buckets at most; the limit rises with the table to keep to it
 STEP = 2  # bytes by which a bucket is split
 STRIDE = 4  # bytes between two nodes of a trie
 
@@ -47,7 +46,7 @@ def mail_address(raw: Column) -> Column:
 
 
 class Trie:
-    """Counts byte strings; a node is a dict from the next STRIDE bytes to a node, None to its counter."""
+    """Counts byte strings; a node is a dict from the next STRIDE bytes to a node, None to its counter (the ids, each once)."""
 
     def __init__(self) -> None:
         self.root: dict = {}
@@ -75,43 +74,75 @@ class Trie:
                     stack.append((key + part, below))
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Input is sorted by bucket; output: value, id, the least id of the value in its bucket."""
-    values: list[bytes] = []
-    ids: list[str] = []
-    least: list[str] = []
+def _tries(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[bytes, set, bool, str | None]]:
+    """Terminals of one trie after another: value, ids, whether it is spread over several, its least id if so."""
+    now, trie, first = None, Trie(), None
+    for batch in batches:
+        for bucket, salt, value, i, least in zip(*(c.to_pylist() for c in batch.columns)):
+            if (bucket, salt) != now:
+                for key, ids in trie.terminals():
+                    yield key, ids, first is not None, first
+                now, trie, first = (bucket, salt), Trie(), least
+            trie.counter(value).add(i)
+    for key, ids in trie.terminals():
+        yield key, ids, first is not None, first
 
-    def close(trie: Trie) -> None:
-        for value, members in trie.terminals():
-            first = min(members)
-            values.extend([value] * len(members))
-            ids.extend(members)
-            least.extend([first] * len(members))
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cols: tuple[list, list, list] = ([], [], [])
 
     def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(values, pa.binary()), pa.array(ids, pa.string()), pa.array(least, pa.string())], ["value", "id", "least"])
-        for x in (values, ids, least):
+        out = pa.RecordBatch.from_arrays([pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.string())], ["value", "id", "kept_id"])
+        for x in cols:
             x.clear()
         return out
 
-    now, trie = None, Trie()
-    for batch in batches:
-        for bucket, salt, value, i in zip(*(c.to_pylist() for c in batch.columns)):
-            if (bucket, salt) != now:
-                close(trie)
-                now, trie = (bucket, salt), Trie()
-                if len(values) >= 20_000:
-                    yield flush()
-            trie.counter(value).add(i)
-    close(trie)
+    for value, ids, _, first in _tries(batches):
+        kept = first if first is not None else min(ids)
+        cols[0].extend([value] * len(ids))
+        cols[1].extend(ids)
+        cols[2].extend([kept] * len(ids))
+        if len(cols[0]) >= 20_000:
+            yield flush()
+    yield flush()
+
+
+def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows: list[tuple] = []
+
+    def flush() -> pa.RecordBatch:
+        part = list(zip(*rows)) or [(), (), (), ()]
+        rows.clear()
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(part, (pa.binary(), pa.string(), pa.int64(), pa.bool_()))], ["value", "kept_id", "n_records", "spread"])
+
+    for value, ids, spread, first in _tries(batches):
+        rows.append((value, first if spread else min(ids), len(ids), spread))
+        if len(rows) >= 20_000:
+            yield flush()
     yield flush()
 
 
-def _shared(a: bytes, b: bytes) -> int:
-    n = 0
-    while n < min(len(a), len(b)) and a[n] == b[n]:
-        n += 1
-    return n
+_SHARED = "aggregate(sequence(0, least(length(lo), length(hi))), 0, (n, i) -> if(n = i - 1 and substring(lo, i, 1) = substring(hi, i, 1), i, n))"
+
+
+def _buckets(records: DataFrame, limit: int) -> DataFrame:
+    """(bucket, salt, value, id, first), each (bucket, salt) in one task and sorted; ``first`` is the least id of a spread value."""
+    spark = records.sparkSession
+    ship(spark)
+    now = written(records.select("id", "value").where("id is not null and value is not null"), "canonical").withColumn("bucket", F.substring("value", 1, 0))
+    fit = None
+    while True:
+        seen = now.groupBy("bucket").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.min("id").alias("first")).where(F.col("n") > limit)
+        one = F.col("lo") == F.col("hi")
+        # where a bucket goes on: past its shared prefix, or, if it holds one value, spread over so many parts
+        over = written(seen.select("bucket", F.when(~one, F.expr(_SHARED) + STEP).alias("upto"), F.when(one, F.ceil(F.col("n") / limit)).alias("salts"), F.when(one, F.col("first")).alias("first")), "oversized")
+        marked = now.join(over, "bucket", "left")
+        salt = F.coalesce(F.pmod(F.xxhash64("id"), "salts"), F.lit(0)).cast("int").alias("salt")
+        part = marked.where("upto is null").select("bucket", salt, "value", "id", "first")
+        fit = part if fit is None else fit.unionByName(part)
+        if over.where("upto is not null").isEmpty():
+            return fit.repartition(width(spark), "bucket", "salt").sortWithinPartitions("bucket", "salt")
+        now = written(marked.where("upto is not null").select("id", "value", F.expr("substring(value, 1, upto)").alias("bucket")), "split")
 
 
 def collapse(records: DataFrame, limit: int = LIMIT) -> DataFrame:
@@ -120,31 +151,13 @@ def collapse(records: DataFrame, limit: int = LIMIT) -> DataFrame:
     Records with a null id or value count for nothing; a record that comes twice counts once; an empty
     table gives an empty result. Values of any length and any number of copies are whole.
     """
-    spark = records.sparkSession
-    ship(spark)
-    rows = written(records.select("id", "value").where("id is not null and value is not null"), "canonical")
-    total = rows.count()
-    limit = max(limit, -(-total // MAX_SPLITS))
-    cut = rows.withColumn("bucket", F.substring("value", 1, 0)).withColumn("salt", F.lit(0))
-    splits = [(b"", 0)] if total > limit else []
-    hot: list[tuple[bytes, int]] = []
-    while splits:
-        # each oversized bucket goes on to the bytes after its shared prefix; at most MAX_SPLITS rows, so broadcast
-        steps = spark.createDataFrame([(bytearray(p), n + STEP) for p, n in splits], "bucket binary, upto int")
-        cut = cut.join(F.broadcast(steps), "bucket", "left").withColumn("bucket", F.when(F.col("upto").isNull(), F.col("bucket")).otherwise(F.expr("substring(value, 1, upto)"))).drop("upto")
-        big = cut.where(~F.col("value").isin([bytearray(v) for v, _ in hot])) if hot else cut
-        over = big.groupBy("bucket").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).where(F.col("n") > limit).collect()
-        splits = [(bytes(r.bucket), _shared(bytes(r.lo), bytes(r.hi))) for r in over if r.lo != r.hi]
-        hot += [(bytes(r.lo), -(-r.n // limit)) for r in over if r.lo == r.hi]
-    if hot:
-        salts = spark.createDataFrame([(bytearray(v), n) for v, n in hot], "value binary, salts int")
-        cut = cut.join(F.broadcast(salts), "value", "left").withColumn("salt", F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.expr("cast(pmod(xxhash64(id), salts) as int)"))).drop("salts")
-    parted = cut.select("bucket", "salt", "value", "id").repartition(width(spark), "bucket", "salt").sortWithinPartitions("bucket", "salt")
-    counted = parted.mapInArrow(_count, "value binary, id string, least string")
-    if not hot:
-        return counted.withColumnRenamed("least", "kept_id")
-    # the spread values, at most MAX_SPLITS of them, get the least of their partial results
-    counted = written(counted, "counted")
-    tops = spark.createDataFrame([(bytearray(v),) for v, _ in hot], "value binary")
-    least = counted.join(F.broadcast(tops), "value", "left_semi").groupBy("value").agg(F.min("least").alias("kept_id"))
-    return counted.join(F.broadcast(least), "value", "left").select("value", "id", F.coalesce("kept_id", "least").alias("kept_id"))
+    return _buckets(records, limit).mapInArrow(_members, "value binary, id string, kept_id string")
+
+
+def counted(records: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """(value, kept_id, n_records): one row for each value with the counter of its records; see ``collapse``."""
+    got = _buckets(records, limit).mapInArrow(_counters, "value binary, kept_id string, n_records bigint, spread boolean")
+    got = written(got, "counters")
+    # partial counters exist of spread values only
+    whole = got.where("spread").groupBy("value").agg(F.min("kept_id").alias("kept_id"), F.sum("n_records").alias("n_records"))
+    return got.where("not spread").drop("spread").unionByName(whole)

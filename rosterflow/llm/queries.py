@@ -13,18 +13,17 @@ def _addresses(spark: SparkSession, d: str) -> DataFrame:
     mails = table(spark, d, "tmp_email_input").select(F.col("source_row_id").alias("id"), F.col("email_raw").alias("raw"))
     fallbacks = table(spark, d, "tmp_candidate_input").select(F.col("source_candidate_id").alias("id"), F.col("fallback_email_raw").alias("raw"))
     rows = mails.unionByName(fallbacks).where("raw is not null")
-    return copies.collapse(rows.select("id", F.encode(copies.mail_address(F.col("raw")), "UTF-8").alias("value")))
+    return rows.select("id", F.encode(copies.mail_address(F.col("raw")), "UTF-8").alias("value"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Every record of an address but the first, with the first."""
-    return _addresses(spark, d).where("id <> kept_id").select("kept_id", F.col("id").alias("copy_id"))
+    return copies.collapse(_addresses(spark, d)).where("id <> kept_id").select("kept_id", F.col("id").alias("copy_id"))
 
 
 def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     """One record for each address with the number of its records over both tables."""
-    rows = _addresses(spark, d).groupBy("value").agg(F.min("kept_id").alias("kept_id"), F.count("*").alias("n_records"))
-    return rows.select(F.decode("value", "UTF-8").alias("address"), "kept_id", "n_records")
+    return copies.counted(_addresses(spark, d)).select(F.decode("value", "UTF-8").alias("address"), "kept_id", "n_records")
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -111,10 +110,12 @@ votes as (
 select root as group_id, field, source_id from (select *, row_number() over (partition by root, field order by trust desc, synced desc nulls last, source_id) as rn from votes) where rn = 1
 """
 
-_quoted = lambda x: x.replace("'", "''")
-_clean = f"regexp_replace(regexp_replace(translate(raw, '{copies._WIDE}', '{_quoted(copies._PLAIN)}'), '{copies._INVISIBLE}', '', 'g'), '{copies._SPACE}', ' ', 'g')"
-_address = f"nullif(replace(regexp_extract(regexp_replace(lower({_clean}), ' ?@ ?', '@', 'g'), '{copies._ADDRESS}'), ' ', ''), '')"
-_RECORDS = f"""records as (select distinct id, {_address} as value from (select source_row_id as id, email_raw as raw from tmp_email_input union all select source_candidate_id, fallback_email_raw from tmp_candidate_input) where id is not null)"""
+# written on its own, not from the operator's tables: characters folded one by one, then the address around the first @
+_folded = """array_to_string(list_transform(string_split(raw, ''), lambda c: case when unicode(c) between 65281 and 65374 then chr(unicode(c) - 65248) when unicode(c) = 12288 then ' ' when unicode(c) in (65377, 12290) then '.' else c end), '')"""
+_spaced = rf"""regexp_replace(regexp_replace(lower({_folded}), '[\p{{Cf}}\x{{115F}}\x{{1160}}\x{{17B4}}\x{{17B5}}\x{{3164}}\x{{FFA0}}\x{{034F}}\x{{FE00}}-\x{{FE0F}}\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]', '', 'g'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')"""
+_RECORDS = rf"""texts as (select distinct id, {_spaced} as t from (select source_row_id as id, email_raw as raw from tmp_email_input union all select source_candidate_id, fallback_email_raw from tmp_candidate_input) where id is not null and raw is not null),
+found as (select id, regexp_extract(regexp_replace(t, ' ?@ ?', '@', 'g'), '([\p{{L}}\p{{N}}_][\p{{L}}\p{{N}}\p{{Mn}}._%+-]*)@([\p{{L}}\p{{N}}-]+(?: ?\. ?[\p{{L}}\p{{N}}-]+)* ?\. ?\p{{L}}[\p{{L}}\p{{N}}-]+)', ['who', 'host']) as a from texts),
+records as (select distinct id, case when a.who <> '' then a.who || '@' || replace(a.host, ' ', '') end as value from found)"""
 P1_SQL = f"with {_RECORDS} select kept_id, id as copy_id from (select id, min(id) over (partition by value) as kept_id from records where value is not null) where id <> kept_id"
 P1_GROUPS_SQL = f"with {_RECORDS} select value as address, min(id) as kept_id, count(*) as n_records from records where value is not null group by value"
 

@@ -59,6 +59,16 @@ def test_collapse_splits_and_spreads(spark):
     assert len(got) == sum(map(len, want.values()))
     assert {(bytes(v), i, k) for v, i, k in got} == {(v, i, min(m)) for v, m in want.items() for i in m}
     assert copies.collapse(df.limit(0)).count() == 0
+    assert {(bytes(r.value), r.kept_id, r.n_records) for r in copies.counted(df, limit=25).collect()} == {(v, min(m), len(m)) for v, m in want.items()}
+    assert copies.counted(df.limit(0)).count() == 0
+
+
+def test_any_number_of_buckets_is_split_at_the_same_limit(spark, monkeypatch):
+    monkeypatch.setattr(copies, "STEP", 3)
+    df = spark.range(12_000).selectExpr("concat('r', id) as id", "encode(lpad(conv(cast(id % 4000 as string), 10, 36), 4, '0'), 'UTF-8') as value")
+    parts = copies._buckets(df, 2).groupBy("bucket", "salt").count()
+    assert parts.count() > 1_024 and parts.where("bucket = substring(bucket, 1, 0)").count() == 0
+    assert copies.counted(df, limit=2).where("n_records = 3").count() == 4_000
 
 
 # survivorship
