@@ -193,28 +193,47 @@ def repair(text: str | None) -> tuple[str | None, int, str | None, bool]:
     return text, total, ",".join(used) or None, bool(_lost.search(text))
 
 
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys, texts = batch.column(0), batch.column(1).to_pylist()
-        at, out = [], []
-        for i, t in enumerate(texts):
-            got = repair(t)
-            if got[1] or got[3]:
-                at.append(i)
-                out.append(got)
-        fixed, n, used, lost = zip(*out) if out else ((), (), (), ())
-        yield pa.RecordBatch.from_arrays([keys.take(pa.array(at, pa.int32())), pa.array(fixed, pa.string()), pa.array(n, pa.int32()), pa.array(used, pa.string()), pa.array(lost, pa.bool_())], ["key", "restored", "spans", "encodings", "lossy"])
+_gap, _edges, _digits = re.compile("([ \t\n\r\f\v]+)"), re.compile(r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"), re.compile("[0-9]+")
+
+
+def _bare(word: str) -> str:
+    """A word without the ASCII punctuation around it, digits all written as 9."""
+    return _edges.sub("", _digits.sub("9", word))
+
+
+def words_of(text: str) -> list[str]:
+    """The distinct words of a text that hold a character beyond ASCII."""
+    return list(dict.fromkeys(_bare(w) for w in _gap.split(text) if not w.isascii()))
+
+
+def _reader(keep: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            got = [repair(t) for t in batch.column(1).to_pylist()]
+            marked = [bool(n or lost) for _, n, _, lost in got]
+            yield pa.RecordBatch.from_arrays([
+                batch.column(0),
+                pa.array([t if m and keep else None for m, (t, _, _, _) in zip(marked, got)], pa.string()),
+                pa.array([n if m else None for m, (_, n, _, _) in zip(marked, got)], pa.int32()),
+                pa.array([used for _, _, used, _ in got], pa.string()),
+                pa.array([lost if m else None for m, (_, _, _, lost) in zip(marked, got)], pa.bool_()),
+                pa.array([words_of(t) for t, _, _, _ in got], pa.list_(pa.string())),
+            ], ["key", "restored", "spans", "encodings", "lossy", "words"])
+
+    return run
 
 
-def restore(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, restored, spans, encodings, lossy of every row with wrongly decoded text.
+def read_through(df: DataFrame, key: str, text: str, keep: bool = False) -> DataFrame:
+    """key, restored, spans, encodings, lossy, words of every row whose text isn't plain ASCII.
 
-    Null, empty and plain ASCII texts have none and never leave the JVM; rows that are repeated come repeatedly; whole
-    texts are examined. No shuffle. ``lossy`` tells that characters are lost for good (U+FFFD, a lead alone).
+    ``spans``, ``encodings`` and ``lossy`` are null where no span was found and nothing is lost; ``restored`` is null there,
+    too, and everywhere unless ``keep``. ``words`` are those beyond ASCII of what the spans gave back. Null, empty and
+    plain ASCII texts never leave the JVM; rows that are repeated come repeatedly; whole texts are examined, once. No shuffle.
     """
     ship(df.sparkSession)
     rows = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text")).where("text rlike '[^\\\\x00-\\\\x7F]'")
-    return rows.mapInArrow(_rows, f"key {rows.schema['key'].dataType.simpleString()}, restored string, spans int, encodings string, lossy boolean")
+    kind = rows.schema["key"].dataType.simpleString()
+    return rows.mapInArrow(_reader(keep), f"key {kind}, restored string, spans int, encodings string, lossy boolean, words array<string>")
 
 
 # Single-byte encodings that are taken for each other.
@@ -247,9 +266,8 @@ def _readings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.list_(pa.string()))], ["word", "n", "meant", "pairs"])
 
 
-# Marks that join the parts of an ordinary word; what stands around words in ASCII.
+# Marks that join the parts of an ordinary word.
 JOINS = set("’‑·–­")
-_EDGES = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
 
 
 def _script(c: str) -> str:
@@ -328,17 +346,14 @@ def _judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(at, pa.int32())), *[pa.array(x, t) for x, t in zip(cols, kinds)]], ["key", "word", "meant", "reading", "n", "sure"])
 
 
-def misread(texts: DataFrame) -> DataFrame:
-    """(key, word, meant, reading): words of texts (key, text) that were read in the wrong single-byte encoding.
+def misread(read: DataFrame) -> DataFrame:
+    """(key, word, meant, reading): words of texts (key, words) that were read in the wrong single-byte encoding.
 
-    Words are runs without white space that hold a character beyond ASCII, without the ASCII punctuation around them, digits all
-    written as 9. Counts are those of all texts. What the words of one text say together decides (``judged``); a word that is
-    proven so in half of its texts is taken in the others, too.
+    Only keys and words move, never texts. Counts are those of all texts. What the words of one text say together decides
+    (``judged``); a word that is proven so in half of its texts is taken in the others, too.
     """
-    ship(texts.sparkSession)
-    digits = F.regexp_replace("text", "[0-9]+", "9")
-    found = F.regexp_extract_all(digits, F.lit("\\S*[^\\x00-\\x7F\\s]\\S*"), F.lit(0))
-    words = texts.where("key is not null").select("key", F.explode(F.array_distinct(F.transform(found, lambda x: F.regexp_replace(x, _EDGES, "")))).alias("word"))
+    ship(read.sparkSession)
+    words = read.where("key is not null").select("key", F.explode("words").alias("word"))
     counts = written(words.groupBy("word").agg(F.count("*").alias("n")), "words")
     other = counts.mapInArrow(_readings, "word string, n bigint, meant string, pairs array<string>")
     known = counts.where(F.col("n") >= LEAST).select(F.col("word").alias("meant"), F.col("n").alias("m"))
@@ -355,46 +370,51 @@ def misread(texts: DataFrame) -> DataFrame:
     return rows.where("sure").select("key", "word", "meant", "reading").unionByName(also)
 
 
+def _found(read: DataFrame) -> DataFrame:
+    """key, spans, encodings, lossy, words, spanned from rows of ``read_through`` that are written."""
+    bad = misread(read)
+    words = bad.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("word", "meant", "reading"))).alias("words"))
+    spanned = read.where("key is not null and spans is not null").select("key", "spans", "encodings", "lossy", F.lit(True).alias("spanned"))
+    return spanned.dropDuplicates(["key"]).join(words, "key", "full")
+
+
 def garbled(df: DataFrame, key: str, text: str) -> DataFrame:
     """key, spans, encodings, lossy, words: every row with wrongly decoded text, recoverable or not.
 
     ``spans`` and ``encodings`` are null where only single words were misread, ``words`` where none were.
     One row for each key; null keys are left out.
     """
-    whole = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    restored = written(restore(whole, "key", "text"), "restored")
-    # words are looked for in what the spans gave back, else in the text as it came
-    clean = whole.join(restored.select("key"), "key", "left_anti").where("text rlike '[^\\\\x00-\\\\x7F]'")
-    bad = misread(restored.select("key", F.col("restored").alias("text")).unionByName(clean))
-    words = bad.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("word", "meant", "reading"))).alias("words"))
-    return restored.where("key is not null").dropDuplicates(["key"]).drop("restored").join(words, "key", "full")
+    return _found(written(read_through(df, key, text), "read")).drop("spanned")
 
 
 def restored_texts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """key, restored, lossy: the texts of all garbled rows with spans and words put right."""
+    """key, restored, lossy: the texts of all garbled rows with spans and words put right.
+
+    One row for each key; of a key that comes with several texts one is taken.
+    """
+    read = written(read_through(df, key, text, keep=True), "read")
+    found = written(_found(read).select("key", "words", "lossy", "spanned"), "found")
     whole = df.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").cast("string").alias("text"))
-    found = garbled(df, key, text).select("key", "words", "lossy")
-    return found.join(whole, "key").mapInArrow(_put_right, f"key {whole.schema['key'].dataType.simpleString()}, restored string, lossy boolean")
+    # texts in which only words were misread are few; those with spans were restored on the way
+    rest = whole.where("text rlike '[^\\\\x00-\\\\x7F]'").join(found.where("spanned is null").select("key"), "key", "left_semi")
+    texts = read.where("spans is not null").select("key", F.col("restored").alias("text")).unionByName(rest).dropDuplicates(["key"])
+    return found.select("key", "words", "lossy").join(texts, "key").mapInArrow(_put_right, f"key {whole.schema['key'].dataType.simpleString()}, restored string, lossy boolean")
 
 
 def _put_right(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    word, edges = re.compile(r"\S*[^\x00-\x7f\s]\S*"), re.compile(_EDGES)
     for batch in batches:
         cols = {n: batch.column(n).to_pylist() for n in ("words", "text", "lossy")}
         out = []
-        for words, text, _ in zip(cols["words"], cols["text"], cols["lossy"]):
-            text = repair(text)[0]
-            meant = {w["word"]: w for w in words or ()}
-
-            def one(m: re.Match) -> str:
-                w = meant.get(edges.sub("", re.sub("[0-9]+", "9", m[0])))
-                if not w:
-                    return m[0]
-                read, as_ = w["reading"].split(">")
+        for words, text in zip(cols["words"], cols["text"]):
+            meant = {w["word"]: w["reading"].split(">") for w in words or ()}
+
+            def one(w: str) -> str:
+                if w.isascii() or (reading := meant.get(_bare(w))) is None:
+                    return w
                 try:
-                    return m[0].encode(read).decode(as_)
+                    return w.encode(reading[0]).decode(reading[1])
                 except UnicodeError:
-                    return m[0]
+                    return w
 
-            out.append(word.sub(one, text) if meant else text)
+            out.append("".join(map(one, _gap.split(text))) if meant else text)
         yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(out, pa.string()), pa.array([bool(x) for x in cols["lossy"]], pa.bool_())], ["key", "restored", "lossy"])
