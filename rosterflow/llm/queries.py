@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterflow.llm import copies, garbled, mixing, neighbors, spellings, survivor, tokens
+from rosterflow.runtime import written
 from rosterflow.sources.tables import table
 
 
@@ -73,7 +74,7 @@ def p9_mix(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     """The share that each source really reaches in the mix."""
-    return mixing.shares(p9_mix(spark, d), table(spark, d, "source_targets"))
+    return mixing.shares(written(p9_mix(spark, d), "mixed"), table(spark, d, "source_targets"))
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:

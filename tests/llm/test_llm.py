@@ -281,28 +281,41 @@ def test_encode_texts(spark, encoding):
 
 def test_weights():
     sizes, targets = {"a": 1000, "b": 100, "c": 10, "d": 0}, {"a": (0.5, 1), "b": (0.3, 2), "c": (0.1, 4), "d": (0.1, 3), "e": (0.1, 1)}
-    w, a, budget = mixing.weights(sizes, targets)
-    assert a == 0 and abs(sum(w.values()) - 1) < 1e-12 and abs(w["a"] / w["b"] - 5 / 3) < 1e-9 and set(w) == {"a", "b", "c"}
-    assert all(budget * w[s] <= targets[s][1] * sizes[s] * (1 + 1e-9) for s in w)
-    w2, a2, b2 = mixing.weights(sizes, targets, budget=900)
-    assert 0 < a2 < 1 and b2 == 900 and all(900 * w2[s] <= targets[s][1] * sizes[s] * (1 + 1e-6) for s in w2)
-    assert mixing.weights({}, targets) == ({}, 0.0, 0.0)
-
-
-def test_mix(spark):
+    for budget, spill in ((None, 0.1), (900, 0.1), (900, 0.0), (10**9, 0.1), (50, 0.0)):
+        w, a, b = mixing.weights(sizes, targets, budget, spill=spill)
+        assert set(w) == {"a", "b", "c"} and abs(sum(w.values()) - 1) < 1e-9 and b == min(1240, 1110 if budget is None else budget)
+        assert all(b * w[s] <= targets[s][1] * sizes[s] * (1 + 1e-9) for s in w)
+        assert (0 < a <= 1) == (b > 50)  # the small source c can give 40 tokens at most
+    w, a, _ = mixing.weights(sizes, targets, 50)
+    assert a == 0 and abs(w["a"] / w["b"] - 5 / 3) < 1e-9
+    flat = {"a": (0.98, 9), "b": (0.01, 9), "c": (0.01, 9)}
+    _, a, _ = mixing.weights({"a": 40, "b": 30, "c": 30}, flat, 10, min_entropy=0.9)
+    assert 0 < a < 1
+    assert mixing.weights({}, targets) == ({}, 0.0, 0.0) and mixing.weights(sizes, targets, 0)[2] == 0
+
+
+@pytest.mark.parametrize("in_block", [50, 2_000])
+def test_mix(spark, monkeypatch, in_block):
+    monkeypatch.setattr(mixing, "IN_BLOCK", in_block)
     rng = random.Random(1)
     rows = [(i, " ".join(["word"] * rng.randrange(1, 60)), "big" if i % 3 else rng.choice(["small", "tiny", None, "unlisted"]), 1, 2) for i in range(1500)] + [(9000, None, "small", 1, 2), (9001, "", "small", 1, 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, uses int, block int")
     goals = spark.createDataFrame([("big", 0.5, 1), ("small", 0.3, 2), ("tiny", 0.1, 3), ("none", 0.1, 2)], "source string, target_share double, max_repeats int")
-    got = mixing.mix(df, goals).collect()
+    got = mixing.mix(df, goals, budget=10_000).collect()
     assert len(got) == len(rows) and {r.doc_id for r in got} == {r[0] for r in rows}
     most = {"big": 1, "small": 2, "tiny": 3}
     assert all(0 <= r.uses <= most.get(r.source, 0) for r in got) and all(r.uses == 0 for r in got if not r.n_tokens)
     used = {s: sum(r.uses * r.n_tokens for r in got if r.source == s) for s in most}
     total = sum(used.values())
+    assert 10_000 - 3 * 60 < total <= 10_000
     assert all(abs(used[s] / total - t / 0.9) < 0.01 for s, t in (("big", 0.5), ("small", 0.3), ("tiny", 0.1)))
-    report = {r.source: r for r in mixing.shares(mixing.mix(df, goals), goals).collect()}
+    whole = sum(r.n_tokens for r in got if r.source in most)
+    mixed = mixing.mix(df, goals)
+    report = {r.source: r for r in mixing.shares(mixed, goals).collect()}
     assert report["none"].used_tokens == 0 and report["unlisted"].target_share is None and abs(sum(r.actual_share for r in report.values()) - 1) < 1e-9
+    assert report["big"].exponent > 0 and report["small"].most_uses <= 2 and report["tiny"].most_uses <= 3
+    assert whole - 3 * 60 < sum(r.used_tokens for r in report.values()) <= whole
+    assert all(abs(r.actual_share - r.planned_share) < 0.005 for r in report.values())
     assert mixing.mix(df.limit(0), goals).count() == 0 and mixing.mix(df, goals.limit(0)).agg(F.sum("uses")).first()[0] == 0
 
 
