@@ -11,11 +11,18 @@ c = F.col
 DETAILS = ("quality", "result", "verification_date", "verification_attempts", "last_verification_attempt")
 
 
+# Source labels of addresses that only the legacy tables vouch for.
+LEGACY_LABELS = ("legacy_candidate_emails", "legacy_candidates_email_fallback")
+TEXTS = ("kind", "source", "quality", "result", "resultcode", "subresult")
+
+
 def email_rows(emails: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Direct rows of known candidates and the fallback row of each candidate, with normalized addresses."""
-    direct = emails.distinct().join(candidates.select("source_candidate_id").distinct(), "source_candidate_id", "left_semi")
-    direct = direct.select(c("source_candidate_id").alias("candidate_id"), F.lit(0).alias("priority"), c("source_row_id").alias("row_id"), n.email_address(c("email_raw")).alias("email"), F.coalesce("raw_is_primary", F.lit(False)).alias("is_primary"), *DETAILS, c("source_created_at").alias("created"))
-    back = candidates.distinct().select(c("source_candidate_id").alias("candidate_id"), F.lit(1).alias("priority"), c("source_candidate_id").alias("row_id"), n.email_address(c("fallback_email_raw")).alias("email"), F.lit(False).alias("is_primary"), *[F.lit(None).cast(direct.schema[x].dataType).alias(x) for x in DETAILS], c("legacy_created_at").alias("created"))
+    """Direct rows of known candidates and the fallback row of each candidate, with normalized addresses; re-sent rows count once."""
+    known = candidates.select("source_candidate_id", "fallback_email_raw", "legacy_created_at").dropDuplicates(["source_candidate_id"])
+    direct = emails.dropDuplicates(["source_row_id"]).join(known.select("source_candidate_id"), "source_candidate_id", "left_semi")
+    direct = direct.select(c("source_candidate_id").alias("candidate_id"), F.lit(0).alias("priority"), c("source_row_id").alias("row_id"), n.email_address(c("email_raw")).alias("email"), F.coalesce("raw_is_primary", F.lit(False)).alias("is_primary"), *DETAILS, c("source_created_at").alias("created"), c("raw_email_type").alias("kind"), F.coalesce("raw_email_source", F.lit(LEGACY_LABELS[0])).alias("source"), "resultcode", "subresult", "raw_response")
+    given = {"candidate_id": c("source_candidate_id"), "priority": F.lit(1), "row_id": c("source_candidate_id"), "email": n.email_address(c("fallback_email_raw")), "is_primary": F.lit(False), "created": c("legacy_created_at"), "source": F.lit(LEGACY_LABELS[1])}
+    back = known.select(*[given.get(x, F.lit(None)).cast(direct.schema[x].dataType).alias(x) for x in direct.columns])
     rows = direct.unionByName(back).where("email is not null")
     return rows.withColumn("verification_attempts", F.coalesce("verification_attempts", F.lit(0)))
 
@@ -76,3 +83,34 @@ def primary_plan(rows: DataFrame, kept: DataFrame) -> DataFrame:
     rule = F.when(c("n_flagged") == 1, "flagged").when(c("n_flagged") > 1, "best_flagged").when(c("n_emails") == 1, "only").when(c("hint").isNotNull(), "fallback").otherwise("none")
     choice = F.when(c("n_flagged") > 0, c("best.email")).when(c("n_emails") == 1, c("only")).otherwise(c("hint"))
     return got.select("candidate_id", "n_emails", "n_flagged", rule.alias("rule"), choice.alias("primary_email"))
+
+
+def merged(rows: DataFrame) -> DataFrame:
+    """The first row of each candidate and address, merged with the best of the others.
+
+    Blank texts are filled, never replaced; the newest times and the most attempts stay, and the first response that isn't null.
+    Addresses with one row don't come out.
+    """
+    since = F.struct(c("created").isNull().alias("none"), F.unix_micros(c("created").cast("timestamp")).alias("at"))
+    vals = F.struct(*TEXTS, "verification_date", "verification_attempts", "last_verification_attempt", "raw_response").alias("vals")
+    first = rows.groupBy("candidate_id", "email").agg(F.min(F.struct(since.alias("since"), "row_id")).alias("f"), F.count("*").alias("n")).where("n > 1").select("candidate_id", "email", c("f.row_id").alias("first_id"))
+    both = rows.join(first, ["candidate_id", "email"])
+    late = c("row_id") != c("first_id")
+    old = F.min(F.when(~late, F.struct("row_id", vals))).alias("old")
+    new = F.min(F.when(late, F.struct(*preference(), vals))).alias("new")
+    got = both.groupBy("candidate_id", "email").agg(old, new).where("new is not null")
+    o, w = (lambda x: c(f"old.vals.{x}")), (lambda x: c(f"new.vals.{x}"))
+    texts = [F.when(n.trimmed(o(x)).isNotNull(), o(x)).otherwise(F.coalesce(n.trimmed(w(x)), o(x))).alias(x) for x in TEXTS]
+    latest = [F.greatest(o(x), w(x)).alias(x) for x in ("verification_date", "verification_attempts", "last_verification_attempt")]
+    return got.select("candidate_id", "email", c("old.row_id").alias("row_id"), c("new.row_id").alias("merged_row_id"), *texts, *latest, F.md5(F.coalesce(o("raw_response"), w("raw_response"), F.lit(""))).alias("response_md5"))
+
+
+def demotions(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """Primary rows that lose the flag: with a choice all of other addresses, without one only those of LEGACY_LABELS.
+
+    ``plan`` is that of ``primary_plan``; candidates that have no surviving address aren't touched.
+    """
+    choice = plan.select("candidate_id", "primary_email")
+    flagged = rows.where("is_primary").join(choice, "candidate_id")
+    lost = F.when(c("primary_email").isNotNull(), c("email") != c("primary_email")).otherwise(c("source").isin(*LEGACY_LABELS))
+    return flagged.where(lost).groupBy("candidate_id", "email", "primary_email").agg(F.count("*").alias("n_rows"))

@@ -31,12 +31,10 @@ def any_key(left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]],
 def winners(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Rows that are the first by ``order`` for each of their keys, so that every key is unique among them.
 
-    One aggregation and one balanced lookup for each key; no window holds a key's rows together.
+    All keys are ranked by one aggregation over (kind, key); no window holds a key's rows together.
     """
-    out = df
-    for i, k in enumerate(keys):
-        first = df.where(F.col(k).isNotNull()).groupBy(F.col(k).alias("_w")).agg(F.min(order).alias(f"_first{i}"))
-        out = lookup(out, k, first, "_w", order)
-    for i in range(len(keys)):
-        out = out.where(F.coalesce(F.col(f"_first{i}") == F.col(order), F.lit(True)))
-    return out.drop(*[f"_first{i}" for i in range(len(keys))])
+    pairs = F.inline(F.filter(F.array(*[F.struct(F.lit(k).alias("_kind"), F.col(k).alias("_key")) for k in keys]), lambda x: x["_key"].isNotNull()))
+    held = df.select(F.col(order).alias("_at"), pairs)
+    first = held.groupBy("_kind", "_key").agg(F.min("_at").alias("_first"))
+    beaten = held.join(first, ["_kind", "_key"]).where("_at <> _first").select("_at").distinct()
+    return df.join(beaten, F.col(order) == F.col("_at"), "left_anti")

@@ -1,15 +1,17 @@
 """Several values packed in one field: a parsing expression grammar with ordered alternatives.
 
-    field   <- nothing / label? ( '[' list ']' / '{' list '}' / list )
-    list    <- ( gap / value )*
-    gap     <- separator / white / line-mark
-    value   <- quoted &( white* ( separator / end ) ) / bare
-    quoted  <- '"' ( '""' / '\\' . / [^"] )* '"'  and alike for ' and the typographic pairs
-    bare    <- ( '(' balanced ')' / !separator . )+
+    field     <- nothing / label? list
+    list      <- ( gap / value )*
+    gap       <- separator / white / line-mark
+    value     <- quoted / bracketed / bare
+    quoted    <- '"' ( '""' / '\\' . / [^"] )* '"' &( white* ( separator / end ) )  and alike for ' and the typographic pairs
+    bracketed <- '[' list ']' &( white* ( separator / end ) )  and alike for { }
+    bare      <- ( '(' balanced ')' / '[' balanced ']' / '{' balanced '}' / !separator . )+
     separator <- [,;|\n\t] / bullets / CJK commas / white '/' white
 
-Alternatives are tried in order; a quoted value that isn't closed, or goes on after its closing mark,
-is parsed again as a bare one and flagged. Nothing is dropped: every other character belongs to a value.
+Alternatives are tried in order. A quoted value that isn't closed, or goes on after its closing mark, and a bracket without
+its counterpart are parsed again as bare values and flagged. Nothing is dropped: every other character belongs to a value.
+The values of a bracketed list are values of the list it stands in; brackets behind a word are part of the value.
 """
 
 from __future__ import annotations
@@ -23,8 +25,8 @@ from pyspark.sql import functions as F
 
 from rosterflow.runtime import ship
 
-# Words that say a field holds nothing.
-NOTHING = {"", "-", "--", "n/a", "na", "none", "null", "nil", "tbd", "unknown", "keine", "nothing", "no skills", "not available", "not specified", "see cv", "see resume", "see notes", "[]", "{}", "()"}
+# Phrases that say a field holds nothing, letters only.
+NOTHING = {"", "na", "none", "null", "nil", "nan", "tbd", "tba", "unknown", "unbekannt", "keine", "keineangabe", "keineangaben", "nothing", "noskills", "nodata", "noinformation", "notapplicable", "notavailable", "notspecified", "notprovided", "notgiven", "seecv", "seeresume", "seenotes", "seeprofile", "sieheprofil", "siehelebenslauf"}
 # Marks that separate values, and marks that may open a line of a list.
 SEPARATORS = ",;|\n\t\v\f\x85  •·‣▪◦●、，；｜"
 LINE_MARKS = r"(?:\d{1,4}(?:\.\)|[.)])(?=\s)|[-–—*](?=\s)|[✓✔➢►])\s*"
@@ -33,10 +35,13 @@ ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f"}
 
 _label = re.compile(r"\s*[^\W\d_]+(?: [^\W\d_]+){0,2}\s?:(?=\s)\s*")
 _mark = re.compile(rf"[^\S\n]*{LINE_MARKS}")
-_stop = re.compile(rf"[{re.escape(SEPARATORS)}(/]")
+_stop = re.compile(rf"[{re.escape(SEPARATORS)}()\[\]{{}}/]")
 _after = re.compile(rf"\s*(?:[{re.escape(SEPARATORS)}]|/(?=\s)|\Z)")
+_inside = re.compile(rf"\s*(?:[{re.escape(SEPARATORS)}\])}}]|/(?=\s)|\Z)")
 _escape = re.compile(r"\\(u[0-9a-fA-F]{4}|.)", re.S)
-_outer = {"[": "]", "{": "}"}
+_brackets = {"(": ")", "[": "]", "{": "}"}
+_signs = re.compile("[()\\[\\]{}" + "".join(CLOSING) + "]")
+DEPTH = 50  # lists within lists; what is nested deeper is a bare value
 
 
 def _unescaped(text: str) -> str:
@@ -50,18 +55,34 @@ def _unescaped(text: str) -> str:
     return text
 
 
-def _pairs(text: str) -> dict[int, int]:
-    """Place of each opening parenthesis that is closed -> place of what closes it."""
-    stack, out = [], {}
-    for m in re.finditer(r"[()]", text):
-        if m[0] == "(":
-            stack.append(m.start())
-        elif stack:
-            out[stack.pop()] = m.start()
+def _empty(text: str) -> bool:
+    letters = "".join(c for c in text.casefold() if c.isalnum())
+    return letters in NOTHING and (letters != "" or not any(c.isalnum() or c in "+#" for c in text))
+
+
+def _pairs(text: str, at: int) -> dict[int, int]:
+    """Place of each opening bracket that is closed -> place of what closes it; quoted values are passed over."""
+    stack: list[tuple[str, int]] = []
+    out: dict[int, int] = {}
+    while m := _signs.search(text, at):
+        i, c = m.start(), m[0]
+        at = i + 1
+        if c in _brackets:
+            stack.append((_brackets[c], i))
+        elif c in CLOSING:
+            before = i - 1
+            while before >= 0 and text[before].isspace():
+                before -= 1
+            if (before < 0 or text[before] in SEPARATORS or text[before] in _brackets) and (got := _quoted(text, i, len(text), _inside)):
+                at = got[1]
+        elif any(close == c for close, _ in stack[-DEPTH:]):
+            while stack[-1][0] != c:
+                stack.pop()  # never closed
+            out[stack.pop()[1]] = i
     return out
 
 
-def _quoted(text: str, at: int, end: int) -> tuple[str, int] | None:
+def _quoted(text: str, at: int, end: int, after: re.Pattern = _after) -> tuple[str, int] | None:
     """The quoted value that starts at ``at`` and its end, or None to backtrack."""
     close = CLOSING[text[at]]
     parts, i = [], at + 1
@@ -80,39 +101,44 @@ def _quoted(text: str, at: int, end: int) -> tuple[str, int] | None:
             i = j + 2
         else:
             parts.append(text[i:j])
-            if not _after.match(text, j + 1, end):
+            if not after.match(text, j + 1, end):
                 return None
             body = "".join(parts)
             return (_unescaped(body) if "\\" in body else body), j + 1
 
 
-def parse(text: str | None) -> list[tuple[str, str, bool]]:
-    """Values of a packed field as (value, kind, malformed); kind is quoted or bare."""
-    if text is None or text.strip().casefold() in NOTHING:
-        return []
-    at, end = 0, len(text)
-    if m := _label.match(text):
-        at = m.end()
-    body = text[at:].strip()
-    if body.casefold() in NOTHING:
-        return []
-    kind = "bare"
-    if len(body) > 1 and _outer.get(body[0]) == body[-1]:
-        text, at, end, kind = body, 1, len(body) - 1, "bracketed"
-    pairs = _pairs(text) if "(" in text else {}
-    out: list[tuple[str, str, bool]] = []
-    fresh, numbered = True, False  # at the start of a line, where a list mark may stand; in a numbered list at any value
+def _bare(text: str, at: int, end: int, pairs: dict[int, int]) -> tuple[int, bool]:
+    """End of the bare value that starts at ``at``, and whether a bracket in it lacks its counterpart."""
+    malformed = False
+    while m := _stop.search(text, at, end):
+        i, x = m.start(), m[0]
+        if x in _brackets:
+            close = pairs.get(i, end)
+            malformed |= close >= end
+            at = i + 1 if close >= end else close + 1
+        elif x in ")]}":
+            malformed |= x != ")"
+            at = i + 1
+        elif x == "/" and not (text[i - 1].isspace() and (i + 1 >= end or text[i + 1].isspace())):
+            at = i + 1
+        else:
+            return i, malformed
+    return end, malformed
+
+
+def _list(text: str, at: int, end: int, kind: str, pairs: dict[int, int], depth: int, out: list[tuple[str, str, bool]]) -> None:
+    fresh, numbered, first = True, False, len(out)  # at the start of a line, where a list mark may stand; in a numbered list at any value
     while at < end:
         c = text[at]
         if c in SEPARATORS or c.isspace():
-            fresh = fresh or numbered or c in "\n\x85  •·‣▪◦●"
+            fresh = fresh or numbered or c in "\n\x85\u2028\u2029•·‣▪◦●"
             at += 1
             continue
         if c == "/" and (at + 1 >= end or text[at + 1].isspace()) and (at == 0 or text[at - 1].isspace()):
             at += 1
             continue
         if fresh and (m := _mark.match(text, at, end)) and m.end() > at:
-            numbered = numbered or not out and m[0].strip()[0] == "1"
+            numbered = numbered or len(out) == first and m[0].strip()[0] == "1"
             at, fresh = m.end(), False
             continue
         fresh, malformed = False, False
@@ -123,26 +149,25 @@ def parse(text: str | None) -> list[tuple[str, str, bool]]:
                     out.append((value.strip(), "quoted", False))
                 continue
             malformed = c in '"“„«'
-        i = at
-        while i < end:
-            m = _stop.search(text, i, end)
-            if not m:
-                i = end
-                break
-            i, x = m.start(), m[0]
-            if x == "(":
-                close = pairs.get(i)
-                if close is not None and close < end:
-                    i = close + 1
-                else:
-                    malformed, i = True, i + 1
-            elif x == "/" and not (text[i - 1].isspace() and (i + 1 >= end or text[i + 1].isspace())):
-                i += 1
-            else:
-                break
-        value, at = text[at:i].strip(), i
-        if value:
-            out.append((value, kind, malformed))
+        elif c in "[{" and depth < DEPTH and (close := pairs.get(at, end)) < end and _after.match(text, close + 1, end):
+            _list(text, at + 1, close, "bracketed", pairs, depth + 1, out)
+            at = close + 1
+            continue
+        stop, odd = _bare(text, at, end, pairs)
+        if value := text[at:stop].strip():
+            out.append((value, kind, malformed or odd))
+        at = stop
+
+
+def parse(text: str | None) -> list[tuple[str, str, bool]]:
+    """Values of a packed field as (value, kind, malformed); kind is quoted, bracketed or bare."""
+    if text is None or _empty(text):
+        return []
+    at = m.end() if (m := _label.match(text)) else 0
+    if at and _empty(text[at:]):
+        return []
+    out: list[tuple[str, str, bool]] = []
+    _list(text, at, len(text), "bare", _pairs(text, at), 0, out)
     return out
 
 

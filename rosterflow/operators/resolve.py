@@ -37,15 +37,19 @@ def _first(*rules: tuple[Column, str, Column | None, str | None]) -> Column:
 def resolve_companies(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Decision for each incoming record (``company_keys``) against existing ones (id, lid, uname, url, nname).
 
-    Three balanced lookups and one by name count. Existing strong keys must be unique (``winners``).
+    All keys of a record are looked up by one join over (kind, key) and come together again by its id, so no null key
+    meets another. Existing strong keys must be unique (``winners``).
     Columns: source_id, decision, matched_id, match_basis, ambiguity_type. Nulls match nothing.
     """
-    by = lambda k: existing.where(c(k).isNotNull()).select(c(k).alias(f"x_{k}"), c("id").alias(f"by_{k}"), c("lid").alias(f"lid_{k}"))
-    rows = incoming.select("source_id", "lid", "uname", "url", "nname", "clash")
-    for k in ("lid", "uname", "url"):
-        rows = lookup(rows, k, by(k), f"x_{k}", "source_id")
-    names = existing.where(c("nname").isNotNull()).groupBy(c("nname").alias("x_nname")).agg(F.count("*").alias("n_named"), F.min("id").alias("by_name"))
-    rows = lookup(rows, "nname", names, "x_nname", "source_id")
+    keys = ("lid", "uname", "url", "nname")
+    pairs = lambda: F.inline(F.filter(F.array(*[F.struct(F.lit(k).alias("kind"), c(k).alias("key")) for k in keys]), lambda x: x["key"].isNotNull()))
+    held = existing.select("id", c("lid").alias("held"), pairs()).groupBy("kind", "key").agg(F.min("id").alias("id"), F.min("held").alias("held"), F.count("*").alias("n"))
+    own = F.struct("lid", "uname", "url", "clash").alias("own")
+    # every record has a pair of its own that matches nothing, so that those without keys stay
+    asked = incoming.select("source_id", own, pairs()).unionByName(incoming.select("source_id", own, F.lit("-").alias("kind"), c("source_id").alias("key")))
+    at = lambda k, x: F.max(F.when(c("kind") == k, c(x)))
+    rows = asked.join(held, ["kind", "key"], "left").groupBy("source_id").agg(F.max("own").alias("own"), at("lid", "id").alias("by_lid"), at("uname", "id").alias("by_uname"), at("uname", "held").alias("lid_uname"), at("url", "id").alias("by_url"), at("url", "held").alias("lid_url"), at("nname", "n").alias("n_named"), at("nname", "id").alias("by_name"))
+    rows = rows.select("source_id", "own.*", "by_lid", "by_uname", "lid_uname", "by_url", "lid_url", "n_named", "by_name")
     new_id = c("lid").isNotNull() & c("by_lid").isNull()
     strong = F.coalesce("lid", "uname", "url").isNotNull()
     decided = _first(

@@ -21,11 +21,11 @@ H = q.HOST
 
 
 def _companies(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    # normalized once; every lookup below reads the keys
+    # normalized once and existing ones told apart once; every lookup below reads the keys
     rows = written(resolve.company_keys(table(spark, d, "tmp_company_input").dropDuplicates(["source_id"]), H), "company_keys")
     old = F.coalesce(F.lower(F.trim("incoming_source")) == "legacy_backfill", F.lit(False))
-    existing = winners(rows.where(old & ~c("clash")), ["lid", "uname", "url"], "source_id").withColumn("id", c("source_id"))
-    return rows.where(~old), existing
+    existing = winners(rows.where(old & ~c("clash")).withColumn("id", c("source_id")), ["lid", "uname", "url"], "id")
+    return rows.where(~old), written(existing, "companies")
 
 
 def resolve_company(spark: SparkSession, d: str) -> DataFrame:
@@ -37,8 +37,8 @@ def _candidates(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     given, linked = n.profile_username(c("raw_linkedin_username"), H), n.candidate_username_in_url(c("raw_linkedin_url"), H)
     rows = rows.withColumns({"source_id": c("source_candidate_id"), "uname": F.coalesce(given, linked), "url": n.candidate_url(c("raw_linkedin_url"), H), "clash": F.coalesce(given != linked, F.lit(False))})
     rows = written(rows, "candidate_keys")
-    existing = winners(rows.where("legacy_source = 'linkedin_import' and not clash"), ["uname", "url"], "source_id").withColumn("id", c("source_id"))
-    return rows, existing
+    existing = winners(rows.where("legacy_source = 'linkedin_import' and not clash").withColumn("id", c("source_id")), ["uname", "url"], "id")
+    return rows, written(existing, "profiles")
 
 
 def resolve_candidate(spark: SparkSession, d: str) -> DataFrame:
@@ -69,17 +69,55 @@ def company_sequence(spark: SparkSession, d: str) -> DataFrame:
     return resolve.resolve_in_sequence(phased, existing)
 
 
-_FIELDS = (("name", "text"), ("website", "text"), ("company_type", "text"), ("headquarters_city", "text"), ("headquarters_country", "text"), ("staff_count", "value"), ("industries", "list"), ("last_enrichment_sync", "value"))
+_FIELDS = {x: "text" for x in ("name", "normalized_name", "linkedin_id", "username", "linkedin_url", "url_normalized", "website", "description", "company_type", "staff_count_range", "headquarters_city", "headquarters_country", "logo_url", "enrichment_status")} | {"industries": "list", "specialties": "list", "staff_count": "value", "last_enrichment_sync": "value"}
+_CANONICAL = {"normalized_name": "nname", "username": "uname", "url_normalized": "url"}
 
 
-def company_merge(spark: SparkSession, d: str) -> DataFrame:
-    """The first record that matches each existing company, merged into it by source precedence."""
+def _company_hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Existing companies, and all records that match one of them with its id."""
     incoming, existing = _companies(spark, d)
-    hits = resolve.resolve_companies(incoming, existing).where("decision = 'match_existing'").groupBy("matched_id").agg(F.min("source_id").alias("source_id"))
-    side = lambda df, p, ident: df.select(c("source_id").alias(ident), *[c(f).alias(f"{p}_{f}") for f, _ in _FIELDS], c("incoming_source").alias(f"{p}_source"), c("source_record_refs").alias(f"{p}_refs"))
-    pairs = hits.join(side(incoming, "new", "source_id"), "source_id").join(side(existing, "old", "matched_id"), "matched_id")
-    got = merge.merge_matched(pairs, _FIELDS, "old_source", "new_source")
-    return got.select("matched_id", "source_id", "effective_action", "name", "website", "company_type", "headquarters_city", "headquarters_country", "staff_count", F.coalesce(F.array_join("industries", "|", "~"), F.lit("")).alias("industries"), "last_enrichment_sync", "merged_source", F.size(merge.union_refs(c("old_refs"), c("new_refs"))).cast("bigint").alias("n_refs"))
+    hits = resolve.resolve_companies(incoming, existing).where("decision = 'match_existing'").select("source_id", "matched_id")
+    rows = incoming.withColumn("phase", n.identity_phase(c("linkedin_id"), c("linkedin_username"), c("linkedin_url"))).withColumns({f: c(x) for f, x in _CANONICAL.items()} | {"source": c("incoming_source")})
+    found = rows.select("source_id", "phase", "source", "source_record_refs", *_FIELDS).join(hits, "source_id")
+    return existing.withColumns({f: c(x) for f, x in _CANONICAL.items()} | {"source": c("incoming_source")}), found
+
+
+def company_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Each existing company with all records that match it merged in, in order of phase and id, by source precedence."""
+    existing, hits = _company_hits(spark, d)
+    got = merge.fold(existing, hits, _FIELDS, ["phase", "source_id"])
+    listed = lambda x: F.coalesce(F.array_join(x, "|", "~"), F.lit("")).alias(x)
+    basis = F.when(n.trimmed(c("linkedin_id")).isNotNull(), "linkedin_id").when(c("username").isNotNull(), "linkedin_username").when(c("url_normalized").isNotNull(), "linkedin_url").otherwise("name")
+    return got.select("id", "effective_action", "n_merged", *[listed(f) if k == "list" else c(f) for f, k in _FIELDS.items()], c("source").alias("data_source"), basis.alias("identity_basis"))
+
+
+def company_refs(spark: SparkSession, d: str) -> DataFrame:
+    """The references of each merged company and of all records merged into it, each once: a table, as there may be very many."""
+    existing, hits = _company_hits(spark, d)
+    hits = written(hits.select(c("matched_id").alias("id"), "source_record_refs"), "hits")
+    rows = hits.select(*merge.refs(c("id"), c("source_record_refs"))).unionByName(existing.join(hits.select("id").distinct(), "id", "left_semi").select(*merge.refs(c("id"), c("source_record_refs"))))
+    doc = F.parse_json("ref")
+    return rows.distinct().select("id", *[F.try_variant_get(doc, f"$.{x}", "string").alias(x) for x in ("source_table", "source_id", "raw_name", "raw_linkedin_id")])
+
+
+_PROFILE = {x: "text" for x in ("full_name", "first_name", "last_name", "username", "url_normalized", "headline", "summary", "location", "profile_picture_url", "phone", "education_summary", "linkedin_enrichment_status")} | {"education_schools": "list", "education_degrees": "list", "education_fields": "list", "top_skills": "list", "linkedin_enrichment_date": "value"}
+
+
+def profile_merge(spark: SparkSession, d: str) -> DataFrame:
+    """Profiles as resumes made them, with name and link only, and all candidates that match them merged in by source precedence.
+
+    The order is that of creation and id. The link as displayed is that of the record whose normalized link stays.
+    """
+    incoming, existing = _candidates(spark, d)
+    hits = resolve.resolve_candidates(incoming, existing).where("decision = 'match_existing'").select("source_id", "matched_id")
+    known = {"id", "full_name", "uname", "url", "raw_linkedin_url"}
+    existing = existing.select(*[c(x) if x in known else F.lit("resume" if x == "legacy_source" else None).cast(existing.schema[x].dataType).alias(x) for x in existing.columns])
+    shaped = lambda df: df.withColumns({"username": c("uname"), "source": c("legacy_source"), "link": F.when(c("url").isNotNull(), F.struct(c("url").alias("url"), c("raw_linkedin_url").alias("shown"))), "url_normalized": c("url"), "made": F.coalesce(F.unix_micros(c("legacy_created_at").cast("timestamp")), F.lit(2**62))})
+    fields = _PROFILE | {"link": "value"}
+    found = shaped(incoming).select("source_id", "made", "source", *fields).join(hits, "source_id")
+    got = merge.fold(shaped(existing), found, fields, ["made", "source_id"])
+    listed = lambda x: F.coalesce(F.array_join(x, "|", "~"), F.lit("")).alias(x)
+    return got.select("id", "effective_action", "n_merged", *[listed(f) if k == "list" else c(f) for f, k in _PROFILE.items()], c("link.shown").alias("linkedin_url"), c("source").alias("data_source"))
 
 
 def profile_upsert(spark: SparkSession, d: str) -> DataFrame:
@@ -125,11 +163,14 @@ def email_primary_plan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def email_merge(spark: SparkSession, d: str) -> DataFrame:
-    """Verified mail rows complete unverified ones: blanks filled, newest time, most attempts."""
-    rows = _mail(spark, d)[0]
-    side = lambda cond, p: rows.where(cond).groupBy("candidate_id", "email").agg(F.min(n.trimmed(c("quality"))).alias(f"{p}_quality"), F.min(n.trimmed(c("result"))).alias(f"{p}_result"), F.max("last_verification_attempt").alias(f"{p}_tried"), F.max("verification_attempts").alias(f"{p}_tries"))
-    both = side("verification_date is null", "old").join(side("verification_date is not null", "new"), ["candidate_id", "email"])
-    return both.select("candidate_id", "email", F.coalesce("old_quality", "new_quality").alias("quality"), F.coalesce("old_result", "new_result").alias("result"), F.greatest("old_tried", "new_tried").alias("last_attempt"), F.greatest("old_tries", "new_tries").alias("attempts"))
+    """The first row of each candidate's address, completed by the best of its later rows."""
+    return emails.merged(_mail(spark, d)[0])
+
+
+def email_demotions(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses that stop being primary once each candidate's choice is made."""
+    rows, kept, claims = _mail(spark, d)
+    return emails.demotions(rows, emails.primary_plan(rows, emails.conflicts(kept, claims)))
 
 
 def experience_match(spark: SparkSession, d: str) -> DataFrame:
@@ -211,9 +252,9 @@ resolved as (select *, case when clash then 'ambiguous' when a <> b or a <> u th
   case when clash or a <> b or a <> u or b <> u then null when a is not null then 'legacy_candidate_id' when b is not null and b = u then 'linkedin_username_and_url' when b is not null then 'linkedin_username' when u is not null then 'linkedin_url_normalized' end as match_basis from looked)
 """
 _MAIL = f"""
-direct as (select source_candidate_id as candidate_id, 0 as priority, source_row_id as row_id, {q.email_address('email_raw')} as email, coalesce(raw_is_primary, false) as is_primary, quality, result, verification_date, coalesce(verification_attempts, 0) as verification_attempts, last_verification_attempt, source_created_at as created
+direct as (select source_candidate_id as candidate_id, 0 as priority, source_row_id as row_id, {q.email_address('email_raw')} as email, coalesce(raw_is_primary, false) as is_primary, quality, result, verification_date, coalesce(verification_attempts, 0) as verification_attempts, last_verification_attempt, source_created_at as created, raw_email_type as kind, coalesce(raw_email_source, 'legacy_candidate_emails') as source, resultcode, subresult, raw_response
   from (select distinct * from tmp_email_input) where source_candidate_id in (select source_candidate_id from tmp_candidate_input)),
-back as (select source_candidate_id, 1, source_candidate_id, {q.email_address('fallback_email_raw')}, false, null, null, null, 0, null, legacy_created_at from (select distinct * from tmp_candidate_input)),
+back as (select source_candidate_id, 1, source_candidate_id, {q.email_address('fallback_email_raw')}, false, null, null, null, 0, null, legacy_created_at, null, 'legacy_candidates_email_fallback', null, null, null from (select distinct * from tmp_candidate_input)),
 rows_ as (select * from (select * from direct union all select * from back) where email is not null),
 rows2 as (select * from rows_ r where priority = 0 or not exists (select 1 from rows_ o where o.priority = 0 and o.candidate_id = r.candidate_id and o.email = r.email)),
 kept as (select *, count(*) over (partition by candidate_id, email) as n_rows, count(*) filter (where is_primary) over (partition by candidate_id, email) as n_primary,
@@ -227,15 +268,29 @@ docs as (select distinct external_source_ref, source_candidate_id as candidate_i
 """
 
 
-def _merged_sql(f: str, kind: str) -> str:
-    up = f"{q.source_rank('i.incoming_source')} > {q.source_rank('e.incoming_source')}"
-    if kind == "text":
-        return f"case when {q.replaces('e.incoming_source', 'i.incoming_source', f'e.{f}', f'i.{f}')} then i.{f} else e.{f} end"
-    if kind == "list":
-        return f"case when coalesce(len(i.{f}), 0) > 0 and (coalesce(len(e.{f}), 0) = 0 or {up}) then i.{f} else e.{f} end"
-    return f"case when i.{f} is not null and (e.{f} is null or {up}) then i.{f} else e.{f} end"
+def _folded_sql(fields: dict[str, str]) -> str:
+    """Merge in order as windows over each group, for the SQL: what outranks all before, field by field."""
+    full = {"text": lambda x: f"{q.trimmed(x)} is not null", "list": lambda x: f"coalesce(len({x}), 0) > 0", "value": lambda x: f"{x} is not null"}
+    cell = lambda f, k: f"case when count(*) filter (where over and {full[k](f'i_{f}')}) > 0 then last(i_{f} order by ord) filter (where over and {full[k](f'i_{f}')}) when {full[k](f'any_value(e_{f})')} then any_value(e_{f}) else coalesce(first(i_{f} order by ord) filter (where {full[k](f'i_{f}')}), any_value(e_{f})) end as {f}"
+    every = {"source": "text", **fields}
+    return f"""walk as (select *, {q.source_rank('i_source')} as rk, max({q.source_rank('i_source')}) over (partition by id order by ord rows between unbounded preceding and 1 preceding) as before from pairs),
+marked as (select *, rk > coalesce(before, -1) and rk > {q.source_rank('e_source')} as over from walk),
+folded as (select id, count(*) as n_merged, {', '.join(cell(f, k) for f, k in every.items())}, {', '.join(f'any_value(e_{f}) as e_{f}' for f in every)} from marked group by id),
+acted as (select *, case when {' and '.join(f'{f} is not distinct from e_{f}' for f in every)} then 'no_op' else 'update' end as effective_action from folded)"""
+
+
+def _pairs_sql(fields: dict[str, str], names: dict[str, str], order: str) -> str:
+    every = ["source", *fields]
+    return f"pairs as (select h.id, row_number() over (partition by h.id order by {order}) as ord, {', '.join(f'h.{names.get(f, f)} as i_{f}, e.{names.get(f, f)} as e_{f}' for f in every)} from hits h join existing e on e.id = h.id)"
 
 
+_PRIMARY = """free as (select * from checked where not conflict), per as (select candidate_id, count(*) as n_emails, count(*) filter (where is_primary) as n_flagged, min(email) as one_email, first(email order by priority, verification_date desc nulls last, verification_attempts desc, last_verification_attempt desc nulls last, created asc nulls last, row_id) filter (where is_primary) as best from free group by 1), hints as (select candidate_id, min(email) as hint from rows_ where priority = 1 group by 1 having count(*) = 1), hinted as (select h.* from hints h join free f on f.candidate_id = h.candidate_id and f.email = h.hint)"""
+_CHOICE = "case when n_flagged > 0 then best when n_emails = 1 then one_email else hint end"
+_listed = lambda x: f"coalesce(array_to_string(list_transform({x}, lambda x: coalesce(x, '~')), '|'), '') as {x}"
+_outs = lambda fields: ", ".join(_listed(f) if k == "list" else f for f, k in fields.items())
+_KINDS = {"text": "varchar", "list": "varchar[]", "value": "timestamp"}
+_CN = {**_CANONICAL, "source": "incoming_source"}
+_PN = {"username": "uname", "url_normalized": "url", "source": "legacy_source"}
 _UP = f"{q.source_rank('i.incoming_source')} > {q.source_rank('e.incoming_source')}"
 _lines = lambda x: rf"nullif(array_to_string(list_filter(list_transform(string_split(regexp_replace({x}, '\r\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '^[\s\x0b]+|[\s\x0b]+$', '', 'g'), '[ \t]+', ' ', 'g')), lambda x: x <> ''), chr(10)), '')"
 _section = " , ".join(f"'## {t}' || chr(10) || {v}" for t, v in (("Headline", _lines("headline")), ("Profile Summary", _lines("summary")), ("Location", _lines("location")), ("Skills", f"coalesce({_lines('skills_text')}, nullif(array_to_string(top_skills, chr(10)), ''))"), ("Education", _lines("education_summary"))))
@@ -245,14 +300,17 @@ SQL = {
     "ambiguity_evidence": f"with {_KEYS}, hits as (select r.source_id, e.id from resolved r join existing e on r.decision = 'ambiguous' and (r.lid = e.lid or r.uname = e.uname or r.url = e.url or r.nname = e.nname)) select r.source_id, r.ambiguity_type, coalesce((select string_agg(distinct h.id, '|' order by h.id) from hits h where h.source_id = r.source_id), '') as matched_record_ids from resolved r where decision = 'ambiguous'",
     "ambiguity_log": f"with {_KEYS} select distinct 'company' as entity_type, ambiguity_type, coalesce(lower(trim(incoming_source, ' ')), '') as source_system, source_id as source_record_ref, md5(coalesce(lid, '') || '|' || coalesce(uname, '') || '|' || coalesce(url, '')) as input_hash from resolved where decision = 'ambiguous' and coalesce(lower(trim(incoming_source, ' ')), '') <> 'resume'",
     "company_name_sequential": f"with {_KEYS}, only_names as (select *, min(source_id) over (partition by nname) as maker from incoming where coalesce(lid, uname, url) is null and nname is not null and not clash) select o.source_id, o.nname, case when coalesce(m.n, 0) > 1 then 'ambiguous' when m.n is null and o.source_id = o.maker then 'create_new' else 'match_existing' end as action, case when coalesce(m.n, 0) <= 1 then coalesce(m.id, o.maker) end as company_id from only_names o left join names m using (nname)",
-    "company_merge": f"with {_KEYS}, hits as (select matched_id, min(source_id) as source_id from resolved where decision = 'match_existing' group by 1), pairs as (select h.matched_id, h.source_id, {', '.join(f'{_merged_sql(f, k)} as {f}' for f, k in _FIELDS)}, case when {q.trimmed('e.incoming_source')} is null or {_UP} then i.incoming_source else e.incoming_source end as merged_source, case when {' and '.join(f'({_merged_sql(f, k)}) is not distinct from e.{f}' for f, k in _FIELDS)} and (case when {q.trimmed('e.incoming_source')} is null or {_UP} then i.incoming_source else e.incoming_source end) is not distinct from e.incoming_source then 'no_op' else 'update' end as effective_action, len(list_distinct(list_concat(coalesce(json_extract(e.source_record_refs, '$[*]'), []), coalesce(json_extract(i.source_record_refs, '$[*]'), [])))) as n_refs from hits h join incoming i on i.source_id = h.source_id join existing e on e.id = h.matched_id) select matched_id, source_id, effective_action, name, website, company_type, headquarters_city, headquarters_country, staff_count, coalesce(array_to_string(list_transform(industries, lambda x: coalesce(x, '~')), '|'), '') as industries, last_enrichment_sync, merged_source, n_refs from pairs",
+    "company_merge": f"with {_KEYS}, hits as (select r.* exclude (id), matched_id as id from (select *, null as id from resolved) r where decision = 'match_existing'), {_pairs_sql(_FIELDS, _CN, f"{q.identity_phase('h.linkedin_id', 'h.linkedin_username', 'h.linkedin_url')}, h.source_id")}, {_folded_sql(_FIELDS)} select id, effective_action, n_merged, {_outs(_FIELDS)}, source as data_source, case when {q.trimmed('linkedin_id')} is not null then 'linkedin_id' when username is not null then 'linkedin_username' when url_normalized is not null then 'linkedin_url' else 'name' end as identity_basis from acted",
+    "company_refs": f"with {_KEYS}, hits as (select matched_id as id, source_record_refs from resolved where decision = 'match_existing'), every as (select * from hits union all select id, source_record_refs from existing where id in (select id from hits)) select distinct id, {', '.join(f"json_extract_string(r, '$.{x}') as {x}" for x in ('source_table', 'source_id', 'raw_name', 'raw_linkedin_id'))} from (select id, unnest(case json_type(source_record_refs) when 'ARRAY' then json_extract(source_record_refs, '$[*]') when 'OBJECT' then [cast(source_record_refs as json)] end) as r from every)",
+    "profile_merge": f"with {_PKEYS}, hits as (select r.* exclude (id), matched_id as id from (select *, null as id from resolved) r where decision = 'match_existing'), early as (select id, full_name, uname, url, raw_linkedin_url, 'resume' as legacy_source, {', '.join(f'cast(null as {_KINDS[k]}) as {f}' for f, k in _PROFILE.items() if f not in ('full_name', 'username', 'url_normalized'))} from existing), {_pairs_sql(_PROFILE | {'shown': 'value'}, _PN | {'shown': 'shown'}, 'h.legacy_created_at asc nulls last, h.source_id').replace('h.shown', 'case when h.url is not null then struct_pack(url := h.url, shown := h.raw_linkedin_url) end').replace('e.shown', 'case when e.url is not null then struct_pack(url := e.url, shown := e.raw_linkedin_url) end').replace('join existing e', 'join early e')}, {_folded_sql(_PROFILE | {'shown': 'value'})} select id, effective_action, n_merged, {_outs(_PROFILE)}, shown.shown as linkedin_url, source as data_source from acted",
     "profile_upsert": f"with {_PKEYS}, hits as (select matched_id, {', '.join(f'min_by({x}, source_id) filter (where {q.trimmed(x)} is not null) as n_{x}' for x in ('full_name', 'headline', 'location', 'phone'))} from resolved where decision = 'match_existing' and matched_id <> source_id group by 1) select e.id, {', '.join(f'case when h.matched_id is null then e.{x} else coalesce({q.trimmed(f'e.{x}')}, n_{x}) end as {x}' for x in ('full_name', 'headline', 'location', 'phone'))} from existing e left join hits h on h.matched_id = e.id union all select source_id, full_name, headline, location, phone from resolved where decision = 'create_new'",
     "email_survivors": f"with {_MAIL} select candidate_id, email, row_id, priority, n_rows, n_primary from survivors",
     "email_lineage": f"with {_MAIL} select candidate_id, email, string_agg(row_id, '|' order by rn) as contributors from kept group by 1, 2",
     "email_fallback_suppression": f"with {_MAIL} select priority, count(*) as n, count(distinct candidate_id) as n_candidates from rows2 group by 1",
     "email_conflicts": f"with {_MAIL} select candidate_id, email, row_id, holder, n_candidates from checked where conflict",
-    "email_primary_plan": f"with {_MAIL}, free as (select * from checked where not conflict), per as (select candidate_id, count(*) as n_emails, count(*) filter (where is_primary) as n_flagged, min(email) as one_email, first(email order by priority, verification_date desc nulls last, verification_attempts desc, last_verification_attempt desc nulls last, created asc nulls last, row_id) filter (where is_primary) as best from free group by 1), hints as (select candidate_id, min(email) as hint from rows_ where priority = 1 group by 1 having count(*) = 1), hinted as (select h.* from hints h join free f on f.candidate_id = h.candidate_id and f.email = h.hint) select candidate_id, n_emails, n_flagged, case when n_flagged = 1 then 'flagged' when n_flagged > 1 then 'best_flagged' when n_emails = 1 then 'only' when hint is not null then 'fallback' else 'none' end as rule, case when n_flagged > 0 then best when n_emails = 1 then one_email else hint end as primary_email from per left join hinted using (candidate_id)",
-    "email_merge": f"with {_MAIL}, o as (select candidate_id, email, min({q.trimmed('quality')}) as quality, min({q.trimmed('result')}) as result, max(last_verification_attempt) as t, max(verification_attempts) as a from rows_ where verification_date is null group by 1, 2), w as (select candidate_id, email, min({q.trimmed('quality')}) as quality, min({q.trimmed('result')}) as result, max(last_verification_attempt) as t, max(verification_attempts) as a from rows_ where verification_date is not null group by 1, 2) select candidate_id, email, coalesce(o.quality, w.quality) as quality, coalesce(o.result, w.result) as result, greatest(o.t, w.t) as last_attempt, greatest(o.a, w.a) as attempts from o join w using (candidate_id, email)",
+    "email_primary_plan": f"with {_MAIL}, {_PRIMARY} select candidate_id, n_emails, n_flagged, case when n_flagged = 1 then 'flagged' when n_flagged > 1 then 'best_flagged' when n_emails = 1 then 'only' when hint is not null then 'fallback' else 'none' end as rule, {_CHOICE} as primary_email from per left join hinted using (candidate_id)",
+    "email_merge": f"with {_MAIL}, seen as (select *, row_number() over (partition by candidate_id, email order by created asc nulls last, row_id) as nth from rows_), o as (select * from seen where nth = 1), w as (select *, row_number() over (partition by candidate_id, email order by priority, is_primary desc, verification_date desc nulls last, verification_attempts desc, last_verification_attempt desc nulls last, created asc nulls last, row_id) as best from seen where nth > 1) select o.candidate_id, o.email, o.row_id, w.row_id as merged_row_id, {', '.join(f"case when {q.trimmed(f'o.{x}')} is not null then o.{x} else coalesce({q.trimmed(f'w.{x}')}, o.{x}) end as {x}" for x in ('kind', 'source', 'quality', 'result', 'resultcode', 'subresult'))}, greatest(o.verification_date, w.verification_date) as verification_date, greatest(o.verification_attempts, w.verification_attempts) as verification_attempts, greatest(o.last_verification_attempt, w.last_verification_attempt) as last_verification_attempt, md5(coalesce(o.raw_response, w.raw_response, '')) as response_md5 from o join w on w.best = 1 and w.candidate_id = o.candidate_id and w.email = o.email",
+    "email_demotions": f"with {_MAIL}, {_PRIMARY}, plan as (select candidate_id, {_CHOICE} as choice from per left join hinted using (candidate_id)) select r.candidate_id, r.email, choice as primary_email, count(*) as n_rows from rows_ r join plan p on p.candidate_id = r.candidate_id where r.is_primary and ((choice is not null and r.email <> choice) or (choice is null and r.source in ('legacy_candidate_emails', 'legacy_candidates_email_fallback'))) group by 1, 2, 3",
     "experience_match": f"with r as (select distinct source_candidate_id as candidate_id, cast(source_array_index as varchar) as ref, {q.experience_hash('source_candidate_id', 'title', 'cast(null as varchar)', 'raw_company_name', 'start_date_raw', 'start_date_precision_raw', 'end_date_raw', 'end_date_precision_raw', 'raw_is_current')} as hash, title, candidate_skip_reason as skip, source_family, source_candidate_id || '|' || source_path || '|' || source_array_index as id from tmp_experience_input), x as (select * from r where source_family = 'flat'), a as (select candidate_id, ref, count(*) as n, min(id) as id, min_by(hash, id) as h, min_by(title, id) as t from x group by 1, 2), b as (select candidate_id, hash, count(*) as n, min(id) as id, min_by(title, id) as t from x group by 1, 2), j as (select i.*, a.id as aid, a.n as an, a.h as ah, b.id as bid, b.n as bn, case when a.id is not null then a.t else b.t end as old_title from r i left join a on a.candidate_id = i.candidate_id and a.ref = i.ref left join b on b.candidate_id = i.candidate_id and b.hash = i.hash where i.source_family = 'nested'), k as (select *, {q.search_text('old_title')} is distinct from {q.search_text('title')} and title is not null as retitled from j), l as (select *, case when skip is not null then 'skip' when an > 1 or bn > 1 or coalesce(aid <> bid, false) then 'ambiguous' when coalesce(aid, bid) is null then 'create_new' when retitled or coalesce(ah <> hash, false) then 'match_existing' else 'no_op' end as action from k) select candidate_id, ref, action, case when action in ('match_existing', 'no_op') then coalesce(aid, bid) end as matched_id, case when action = 'match_existing' then case when retitled then title else old_title end end as new_title from l",
     "document_versions": f"with {_DOCS}, o as (select *, lag(content_hash) over w as before, lead(external_source_ref) over w as after from docs where candidate_id is not null window w as (partition by candidate_id, kind, identity_key order by effective_at asc nulls last, external_source_ref)) select external_source_ref, candidate_id, kind, case when before is null then 'insert' when content_hash <> before then 'supersede' else 'no_op' end as action, cast(sum(case when content_hash is distinct from before then 1 else 0 end) over (partition by candidate_id, kind, identity_key order by effective_at asc nulls last, external_source_ref) as bigint) as version, after is null as is_last from o",
     "document_decisions": f"with {_DOCS}, act as (select candidate_id, kind, min(external_source_ref) as id, min_by(identity_key, external_source_ref) as k, min_by(content_hash, external_source_ref) as h from docs where candidate_id is not null and kind is not null group by 1, 2) select d.external_source_ref, case when d.identity_key is not null and a.k = d.identity_key and a.h = d.content_hash then 'no_op' when d.identity_key is not null and a.k = d.identity_key then 'supersede' when d.identity_key is not null then 'parallel' when a.h = d.content_hash then 'no_op' when d.kind = 'resume' and a.k is null then 'ambiguous' else 'parallel' end as decision, case when a.k = d.identity_key or (d.identity_key is null and a.h = d.content_hash) then a.id end as matched_id, cast(case when d.identity_key is not null and a.k = d.identity_key then case when a.h = d.content_hash then 1 else 2 end else 1 end as integer) as next_version, cast(case when d.identity_key is null and a.h <> d.content_hash and d.kind = 'resume' and a.k is null then 'anonymous_resume_identity_conflict' end as varchar) as ambiguity_type from docs d join act a on a.candidate_id = d.candidate_id and a.kind = d.kind",
@@ -261,4 +319,4 @@ SQL = {
     "resolution_samples": f"with {_KEYS} select decision, source_id, rn from (select decision, source_id, row_number() over (partition by decision order by source_id) as rn from resolved) where rn <= 5",
     "email_summary": f"with {_MAIL} select 1 as step, 'rows' as what, count(*) as n from rows_ union all select 2, 'collapsed', cast(sum(greatest(n_rows - 1, 0)) as bigint) from survivors union all select 3, 'conflicts', count(*) filter (where conflict) from checked",
 }
-QUERIES = {f.__name__: f for f in (resolve_company, resolve_candidate, ambiguity_evidence, ambiguity_log, company_name_sequential, company_sequence, company_merge, profile_upsert, email_survivors, email_lineage, email_fallback_suppression, email_conflicts, email_primary_plan, email_merge, experience_match, document_versions, document_decisions, section_text, resolution_histogram, resolution_samples, email_summary)}
+QUERIES = {f.__name__: f for f in (resolve_company, resolve_candidate, ambiguity_evidence, ambiguity_log, company_name_sequential, company_sequence, company_merge, company_refs, profile_merge, profile_upsert, email_survivors, email_lineage, email_fallback_suppression, email_conflicts, email_primary_plan, email_merge, email_demotions, experience_match, document_versions, document_decisions, section_text, resolution_histogram, resolution_samples, email_summary)}

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from rosterflow.operators import components, documents, experience, merge, quality, resolve
+from rosterflow.operators import components, documents, emails, experience, merge, quality, resolve
 from rosterflow.operators.joins import any_key, winners
 from rosterflow.sources import tables
 
@@ -69,13 +69,63 @@ def test_keys(spark):
     assert {tuple(r) for r in any_key(a, b, [("k", "k"), ("m", "m")], "source_id", "id").collect()} == {("1", "1"), ("1", "2"), ("2", "1"), ("2", "2"), ("2", "3"), ("3", "2"), ("3", "3")}
 
 
-def test_merge_and_rerun(spark):
-    rows = [("resume", "linkedin_profile", "old", "new", None, 5), ("linkedin_profile", "resume", "old", "new", 3, 5), ("resume", "resume", "", "new", None, None), ("resume", "resume", "same", "same", 1, 1)]
-    df = spark.createDataFrame(rows, "old_source string, new_source string, old_name string, new_name string, old_n int, new_n int")
-    got = merge.merge_matched(df, [("name", "text"), ("n", "value")], "old_source", "new_source")
-    assert [(r.name, r.n, r.effective_action) for r in got.collect()] == [("new", 5, "update"), ("old", 3, "no_op"), ("new", None, "update"), ("same", 1, "no_op")]
-    again = got.select(F.col("merged_source").alias("old_source"), "new_source", F.col("name").alias("old_name"), "new_name", F.col("n").alias("old_n"), "new_n")
-    assert {r.effective_action for r in merge.merge_matched(again, [("name", "text"), ("n", "value")], "old_source", "new_source").collect()} == {"no_op"}
+def _folded(old, rows):
+    """The merge as it is told: one record after another."""
+    source, name, tags, size = old[1:]
+    for _, src, nm, tg, sz in sorted(rows):
+        up = RANK.get((src or "").strip().lower(), 0) > RANK.get((source or "").strip().lower(), 0)
+        if nm and nm.strip() and (not (name and name.strip()) or up):
+            name = nm
+        if tg and (not tg_ok(tags) or up):
+            tags = tg
+        if sz is not None and (size is None or up):
+            size = sz
+        if src and src.strip() and (not (source and source.strip()) or up):
+            source = src
+    return source, name, tags, size
+
+
+def tg_ok(x):
+    return bool(x)
+
+
+RANK = {"linkedin_profile": 500, "legacy_backfill": 400, "resume": 300, "transcript_summary": 200, "manual_profile_note": 100}
+
+
+def test_fold_is_the_merge_in_order(spark):
+    rng = random.Random(4)
+    sources = [*RANK, None, " ", "odd", " RESUME "]
+    value = lambda: (rng.choice(sources), rng.choice([None, "", " ", "a", "b", "c"]), rng.choice([None, [], ["x"], ["y", None]]), rng.choice([None, 1, 2, 3]))
+    old = [(str(i), *value()) for i in range(200)]
+    new = [(o[0], j, *value()) for o in old for j in range(rng.randrange(6))]
+    new += [("7", 100 + j, "odd", "late", None, None) for j in range(2_000)]  # a hot company
+    kind = "source string, name string, tags array<string>, size int"
+    e, i = spark.createDataFrame(old, f"id string, {kind}"), spark.createDataFrame(new, f"matched_id string, at int, {kind}").repartition(5)
+    fields = {"name": "text", "tags": "list", "size": "value"}
+    got = {r.id: r for r in merge.fold(e, i, fields, ["at"]).collect()}
+    want = {o[0]: _folded(o, [(j, *v) for m, j, *v in new if m == o[0]]) for o in old if any(m == o[0] for m, *_ in new)}
+    assert {k: (r.source, r.name, r.tags, r["size"]) for k, r in got.items()} == want
+    assert all((r.effective_action == "no_op") == (tuple(want[k]) == old[int(k)][1:]) and r.n_merged == sum(m == k for m, *_ in new) for k, r in got.items())
+    assert merge.fold(e, i.limit(0), fields, ["at"]).count() == 0 and merge.fold(e.limit(0), i, fields, ["at"]).count() == 0
+
+
+def test_refs(spark):
+    df = spark.createDataFrame([("a", '[{"x": 1}, {"x": 1}, "t"]'), ("a", '{"x": 1}'), ("b", "broken"), ("c", None), ("d", "[]")], "k string, j string")
+    assert sorted(map(tuple, df.select(*merge.refs(F.col("k"), F.col("j"))).distinct().collect())) == [("a", '"t"'), ("a", '{"x":1}')]
+
+
+def test_mail_merge_and_demotion(spark):
+    from datetime import datetime as t
+
+    cols = "candidate_id string, priority int, row_id string, email string, is_primary boolean, quality string, result string, verification_date timestamp, verification_attempts int, last_verification_attempt timestamp, created timestamp, kind string, source string, resultcode string, subresult string, raw_response string"
+    row = lambda c, i, e, p, q, v, n, made, s="form", raw=None: (c, 0, i, e, p, q, None, v, n, v, made, None, s, None, None, raw)
+    a, b = t(2024, 1, 1), t(2025, 1, 1)
+    rows = spark.createDataFrame([row("1", "x", "p@m", True, " ", a, 1, a), row("1", "y", "p@m", False, "good", b, 3, b, raw="{}"), row("1", "z", "q@m", True, "good", None, 0, None), row("2", "u", "r@m", True, None, None, 0, a, "legacy_candidate_emails"), row("2", "w", "s@m", True, None, None, 0, a)], cols)
+    got = emails.merged(rows).collect()
+    assert [(r.email, r.row_id, r.merged_row_id, r.quality, r.verification_date, r.verification_attempts) for r in got] == [("p@m", "x", "y", "good", b, 3)]
+    plan = spark.createDataFrame([("1", "p@m"), ("2", None)], "candidate_id string, primary_email string")
+    assert sorted((r.candidate_id, r.email) for r in emails.demotions(rows, plan).collect()) == [("1", "q@m"), ("2", "r@m")]
+    assert emails.merged(rows.limit(0)).count() == 0
 
 
 def test_ambiguities_are_logged_once(spark):

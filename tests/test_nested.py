@@ -2,7 +2,7 @@ import json
 
 import pytest
 
-from rosterflow.operators.nested import nested_objects
+from rosterflow.operators.nested import flat_table, members_table, nested_nodes, nested_objects
 
 
 def brute(key, text):
@@ -67,3 +67,18 @@ def test_against_brute_force(spark, generations):
 def test_empty(spark):
     df = spark.createDataFrame([], "id string, body string")
     assert nested_objects(df, "id", "body").count() == 0
+
+
+def test_target_tables(spark):
+    text = '{"jobs": [{"title": "a", "n": 1, "skills": {"name": "s", "more": "[{\\"name\\": \\"t\\"}]"}}, "no", {"title": null, "n": "x"}], "skills": [[{"name": "u"}]]}'
+    df = spark.createDataFrame([("k", text, 1), ("k", text, 1), (None, text, 1), ("e", "{}", 1), ("b", "{broken", 1)], "key string, text string, nodes int")
+    before = spark.conf.get("spark.sql.variant.allowDuplicateKeys")
+    nodes = nested_nodes(df, "key", "text", generations=2)
+    assert spark.conf.get("spark.sql.variant.allowDuplicateKeys") == before
+    jobs = flat_table(nodes, ["jobs"], {"title": ("string", ("name", "title")), "n": ("int", ("n",))})
+    assert sorted(map(tuple, jobs.where("record_key = 'k'").collect())) == [("k", "$.jobs[0]", "$", 0, "a", 1), ("k", "$.jobs[2]", "$", 2, None, None)]
+    skills = flat_table(nodes, ["skills"], {"name": ("string", ("name",))}).where("record_key is null")
+    assert sorted((r.node_path, r.parent_path, r.ordinal, r["name"]) for r in skills.collect()) == [("$.jobs[0].skills", "$.jobs[0]", None, "s"), ("$.skills[0][0]", "$", 0, "u")]
+    cells = {(r.node_path, r.member): r.value for r in members_table(nodes).where("record_key = 'k'").collect()}
+    assert cells == {("$.jobs[0]", "title"): "a", ("$.jobs[0]", "n"): "1", ("$.jobs[0].skills", "name"): "s", ("$.jobs[0].skills.more[0]", "name"): "t", ("$.jobs[2]", "title"): None, ("$.jobs[2]", "n"): "x", ("$.skills[0][0]", "name"): "u"}
+    assert members_table(nested_nodes(df.limit(0), "key", "text")).count() == 0

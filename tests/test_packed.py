@@ -37,6 +37,33 @@ def test_backtracks_on_malformed_quotes():
     assert [(v, bad) for v, _, bad in parse("left (open, Go")] == [("left (open", True), ("Go", False)]
 
 
+BRACKETS = [
+    ("[Python, SQL], [Java]", [("Python", "bracketed", False), ("SQL", "bracketed", False), ("Java", "bracketed", False)]),
+    ("Python [ML, NLP], SQL", [("Python [ML, NLP]", "bare", False), ("SQL", "bare", False)]),
+    ("Go, [a, [b, 'c, d']]", [("Go", "bare", False), ("a", "bracketed", False), ("b", "bracketed", False), ("c, d", "quoted", False)]),
+    ("[a, b", [("[a", "bare", True), ("b", "bare", False)]),
+    ("a], b", [("a]", "bare", True), ("b", "bare", False)]),
+    ("[a] b, c", [("[a] b", "bare", False), ("c", "bare", False)]),
+    ('["a]", b]', [("a]", "quoted", False), ("b", "bracketed", False)]),
+    ("{x; (y, z)}", [("x", "bracketed", False), ("(y, z)", "bracketed", False)]),
+]
+
+
+@pytest.mark.parametrize("text,values", BRACKETS)
+def test_brackets_are_an_alternative(text, values):
+    assert parse(text) == values
+
+
+@pytest.mark.parametrize("text", ["n.a.", "N/A", "keine Angabe", "Skills: see CV", "[]", "{ }", "--", "k/no skills"[2:]])
+def test_fields_that_hold_nothing(text):
+    assert parse(text) == []
+
+
+def test_deep_and_open_brackets_end_soon():
+    assert len(parse("[a, " * 50_000 + "]")) == 50_000
+    assert parse("[" * 3_000 + "a" + "]" * 3_000)[0][0].strip("[]") == "a"
+
+
 def test_very_long_text_is_parsed_whole():
     many = 60_000
     assert len(parse(", ".join(["Go", '"a, b"', "(x"] * many))) == 3 * many
