@@ -1,12 +1,14 @@
 """Most similar vectors for every vector: a forest of hash prefixes over sorted arrays.
 
-Every tree gives a vector long hash strings: a first symbol, the nearest of ANCHORS directions fitted on a bounded
+Every tree gives a vector long hash strings: a first symbol, the nearest of up to ANCHORS directions fitted on a bounded
 sample of the model's vectors (and a second string from the second nearest), then BITS signs of random projections. A
-tree is the array of all vectors sorted by hash string, cut over the tasks. Descending, a range of equal prefix
-is divided symbol by symbol until at most BLOCK vectors are left; ranges that got too small ascend again by
-being taken together with their siblings up to BLOCK; more vectors with one and the same string are divided by
-directions of their own (``divided``). Within a block all vectors are compared, and the best of all
-trees are merged per vector. A model with no more than BLOCK vectors is one block, so its result is exact.
+tree is the array of all vectors sorted by hash string, cut over the tasks at first symbols. Descending, a range of equal prefix
+is divided symbol by symbol until at most BLOCK vectors are left, so every vector ends at the longest prefix it shares with
+enough others. Where the last division left too few, its vectors ascend in all trees alike: their candidates are those BLOCK
+vectors next to them in the array that share the prefix one symbol shorter. More vectors with one and the same string are
+divided by directions of their own (``divided``). A vector is compared with all its candidates, and the best of all
+trees are merged per vector. A model with no more than BLOCK vectors is one block, so its result is exact. What is compared
+depends on the vectors and ids only, not on the number of tasks or the layout of the input.
 
 Only sample and anchors, both of bounded size, touch the driver. Vectors travel as 16-bit integers with a scale
 (error of a cosine about 1e-6) and ids as 16 bytes.
@@ -65,7 +67,7 @@ class Tree:
 
     def __init__(self, sample: np.ndarray, total: int, seed: int, block: int = BLOCK) -> None:
         rng = np.random.default_rng(seed)
-        k = int(max(1, min(ANCHORS, len(sample) // 8, total // 64))) if total > block else 1
+        k = int(max(1, min(ANCHORS, len(sample) // 8, 4 * PROBES * total // block))) if total > block else 1
         self.anchors = _fit(sample, k, rng)
         self.planes = rng.standard_normal((sample.shape[1], BITS)).astype(np.float32)
         # prefixes that hold many vectors by the sample's measure get more of their bits into the partition key
@@ -139,57 +141,47 @@ def divided(x: np.ndarray, size: int = BLOCK, seed: int = 0) -> Iterator[np.ndar
             todo += [at[order[: len(at) // 2]], at[order[len(at) // 2 :]]]
 
 
-def blocks(first: np.ndarray, bits: np.ndarray, size: int = BLOCK, whole: bool = False) -> list[tuple[int, int]]:
-    """Ranges of a sorted array of hash strings that are compared: prefixes of variable length.
+def blocks(bits: np.ndarray, size: int = BLOCK) -> list[tuple[int, int, int, int]]:
+    """(lo, hi, from, to) over a sorted array of the bits of one first symbol: vectors lo to hi and their candidates.
 
-    More than ``size`` equal strings are cut as they lie, or stay ``whole`` for ``divided``.
+    Prefixes of variable length; a range under a quarter of ``size`` gets the ``size`` vectors around it that share the next
+    shorter prefix. More than ``size`` equal strings stay whole, for ``divided``.
     """
-    leaves: list[tuple[int, int]] = []
-
-    def descend(lo: int, hi: int, bit: int) -> None:
-        if hi - lo <= size:
-            leaves.append((lo, hi))
-        elif bit == BITS and whole:
-            leaves.append((lo, hi))
-        elif bit == BITS:
-            leaves.extend((max(lo, min(a, hi - size)), min(a + size, hi)) for a in range(lo, hi, size))
-        else:
+    out: list[tuple[int, int, int, int]] = []
+    todo = [(0, len(bits), 0, 0, len(bits))]
+    while todo:
+        lo, hi, bit, above, below = todo.pop()
+        if hi - lo > size and bit < BITS:
             mask = np.uint64(1) << np.uint64(BITS - 1 - bit)
             mid = lo + int(np.searchsorted((bits[lo:hi] & mask) > 0, True))
-            for a, b in ((lo, mid), (mid, hi)):
-                if b > a:
-                    descend(a, b, bit + 1)
-
-    edges = [0, *(np.flatnonzero(np.diff(first)) + 1).tolist(), len(first)]
-    for lo, hi in zip(edges, edges[1:]):
-        if hi > lo:
-            descend(lo, hi, 0)
-    out: list[tuple[int, int]] = []
-    for lo, hi in leaves:  # ascend: siblings too small to give enough candidates are compared together
-        if out and hi - out[-1][0] <= size and lo == out[-1][1]:
-            out[-1] = (out[-1][0], hi)
-        else:
-            out.append((lo, hi))
+            todo += [(a, b, bit + 1, lo, hi) for a, b in ((mid, hi), (lo, mid)) if b > a]
+        elif 4 * (hi - lo) < size < below - above:
+            start = max(above, min((lo + hi - size) // 2, below - size))
+            out.append((lo, hi, start, start + size))
+        elif hi > lo:
+            out.append((lo, hi, lo, hi))
     return out
 
 
-def _nearest(ids: np.ndarray, x: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, list[bytes]]]:
-    """Of each distinct id in a block the k most similar others, packed as (id, cosine)."""
+def _nearest(ids: np.ndarray, x: np.ndarray, k: int, lo: int = 0, hi: int | None = None) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Of each distinct id in lo to hi of a block the k most similar others of the block, packed as (id, cosine)."""
+    asked = ids[lo:hi]
     ids, at = np.unique(ids, return_index=True)
     x = x[at]
+    asked = np.flatnonzero(np.isin(ids, asked))
     k = min(k, len(ids) - 1)
     if k < 1:
         return
     kind = np.dtype([("id", "V16"), ("cos", "<f4")])
-    for lo in range(0, len(ids), 512):
-        s = x[lo : lo + 512] @ x.T
-        rows = np.arange(len(s))
-        s[rows, rows + lo] = -np.inf
+    for first in range(0, len(asked), 512):
+        mine = asked[first : first + 512]
+        s = x[mine] @ x.T
+        s[np.arange(len(s)), mine] = -np.inf
         best = np.argpartition(s, s.shape[1] - k, axis=1)[:, -k:]
         found = np.empty(best.shape, kind)
         found["id"] = ids[best].view("V16")
         found["cos"] = np.take_along_axis(s, best, 1)
-        yield ids[lo : lo + 512], [r.tobytes() for r in found]
+        yield ids[mine], [r.tobytes() for r in found]
 
 
 def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, active: str, dimensions: str, k: int = 5, block: int = BLOCK) -> DataFrame:
@@ -215,7 +207,9 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
     chance = F.lit(0.0)
     for r in counts:
         chance = F.when(F.col("model") == r.model, F.lit(min(1.0, share / r.n))).otherwise(chance)
-    got = rows.where(F.rand(11) < chance).limit(2 * SAMPLE + 2_048).select("model", "dims", "vector").toArrow()
+    # a sample by id, in order of id, so that it is the same whatever the layout of the input
+    lot = F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
+    got = rows.where(lot < chance).select("model", "dims", "id", "vector").limit(2 * SAMPLE + 2_048).toArrow().sort_by("id")
     trees: dict[int, list[Tree]] = {}
     sampled = np.asarray(got.column("model").to_numpy())
     for r in counts:
@@ -256,44 +250,37 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(n, m)), pa.array(np.full(n, t, np.int32)), pa.array(first.astype(np.int32)), pa.array(part_of), pa.array(bits.astype(np.int64)), ids, body], ["model", "tree", "first", "part", "bits", "key", "body"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Sorted by model, tree, first, bits; a run ends with its first symbol once it has BLOCK vectors."""
+        """Sorted by model, tree, first, part, bits, key; every (model, tree, first, part) is an array of its own."""
         held: list[pa.RecordBatch] = []
 
-        def work(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            model, tree = table.column("model").to_numpy(), table.column("tree").to_numpy()
-            edges = [0, *(np.flatnonzero((np.diff(model) != 0) | (np.diff(tree) != 0)) + 1).tolist(), len(model)]
-            for lo, hi in zip(edges, edges[1:]):
-                part = table.slice(lo, hi - lo)
-                first, bits = part.column("first").to_numpy(), part.column("bits").to_numpy().astype(np.uint64)
-                # numbers of one body: a scale and 16-bit integers
-                raw = b"".join(part.column("body").to_pylist())
-                dims = (len(raw) // len(first) - 4) // 2
-                packed = np.frombuffer(raw, [("scale", "<f4"), ("q", "<i2", (dims,))])
-                ids = np.frombuffer(b"".join(part.column("key").to_pylist()), [("high", ">u8"), ("low", ">u8")])
-                for a, b in blocks(first, bits, block, True):
-                    x = packed["q"][a:b].astype(np.float32) * packed["scale"][a:b, None]
-                    parts = [slice(None)] if b - a <= block else divided(x, block, int(first[a]) * TREES + int(tree[lo]))
-                    for own, lists in (got for at in parts for got in _nearest(ids[a:b][at], x[at], k)):
-                        yield pa.RecordBatch.from_arrays([pa.array([i.tobytes() for i in own], pa.binary()), pa.array(lists, pa.binary())], ["key", "near"])
-
-        size, last = 0, None
+        def work(part: pa.Table) -> Iterator[pa.RecordBatch]:
+            bits = part.column("bits").to_numpy().astype(np.uint64)
+            # numbers of one body: a scale and 16-bit integers
+            raw = b"".join(part.column("body").to_pylist())
+            dims = (len(raw) // len(bits) - 4) // 2
+            packed = np.frombuffer(raw, [("scale", "<f4"), ("q", "<i2", (dims,))])
+            ids = np.frombuffer(b"".join(part.column("key").to_pylist()), [("high", ">u8"), ("low", ">u8")])
+            for lo, hi, a, b in blocks(bits, block):
+                x = packed["q"][a:b].astype(np.float32) * packed["scale"][a:b, None]
+                if b - a <= block:
+                    lists = _nearest(ids[a:b], x, k, lo - a, hi - a)
+                else:
+                    lists = (got for at in divided(x, block, part.column("first")[0].as_py()) for got in _nearest(ids[a:b][at], x[at], k))
+                for own, near in lists:
+                    yield pa.RecordBatch.from_arrays([pa.array([i.tobytes() for i in own], pa.binary()), pa.array(near, pa.binary())], ["key", "near"])
+
+        last = None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            marks = np.stack([batch.column(n).to_numpy() for n in ("model", "tree", "first")], axis=1)
-            starts = np.flatnonzero(np.any(np.diff(marks, axis=0) != 0, axis=1)) + 1
-            if last is not None and np.any(marks[0] != last):
-                starts = np.concatenate([[0], starts])
-            last, done = marks[-1], 0
-            for s in starts:
-                if size + s - done >= block and (held or s > done):
-                    if s > done:
-                        held.append(batch.slice(done, s - done))
+            marks = np.stack([batch.column(n).to_numpy() for n in ("model", "tree", "first", "part")], axis=1)
+            starts = [0, *(np.flatnonzero(np.any(np.diff(marks, axis=0) != 0, axis=1)) + 1).tolist(), len(marks)]
+            for lo, hi in zip(starts, starts[1:]):
+                if held and np.any(marks[lo] != last):
                     yield from work(pa.Table.from_batches(held))
-                    held, size, done = [], 0, int(s)
-            if batch.num_rows > done:
-                held.append(batch.slice(done))
-                size += batch.num_rows - done
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                last = marks[lo]
         if held:
             yield from work(pa.Table.from_batches(held))
 
@@ -333,7 +320,7 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
 
     n = width(spark)
     strings = rows.select("model", "dims", "vector", key.alias("key")).mapInArrow(hashed, "model long, tree int, first int, part long, bits long, key binary, body binary")
-    arrays = strings.repartition(n, "model", "tree", "first", "part").sortWithinPartitions("model", "tree", "first", "bits")
+    arrays = strings.repartition(n, "model", "tree", "first", "part").sortWithinPartitions("model", "tree", "first", "part", "bits", "key")
     lists = arrays.mapInArrow(compared, "key binary, near binary")
     pairs = lists.repartition(n, "key").sortWithinPartitions("key").mapInArrow(merged, "a binary, b binary").distinct()
     if plain:

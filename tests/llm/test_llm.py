@@ -232,12 +232,26 @@ def test_equal_strings_are_spread_by_content(monkeypatch):
 
 def test_blocks_cover_everything():
     rng = np.random.default_rng(0)
-    first, bits = np.sort(rng.integers(0, 5, 3000)), np.zeros(3000, np.uint64)
-    for f in range(5):
-        at = first == f
-        bits[at] = np.sort(rng.integers(0, 2**32 if f else 2, at.sum()).astype(np.uint64))
-    got = neighbors.blocks(first, bits, 100)
-    assert set().union(*(range(a, b) for a, b in got)) == set(range(3000)) and all(b - a <= 100 for a, b in got)
+    for high in (2**32, 2, 2**20):
+        bits = np.sort(rng.integers(0, high, 3000).astype(np.uint64))
+        got = neighbors.blocks(bits, 100)
+        assert sorted(i for lo, hi, _, _ in got for i in range(lo, hi)) == list(range(3000))
+        assert all(a <= lo < hi <= b and (b - a <= 100 or high == 2) and (4 * (b - a) >= 100) for lo, hi, a, b in got)
+
+
+def test_pairs_do_not_depend_on_the_number_of_tasks(spark):
+    x = _vectors(3000, 24, 6)
+    rows = [(f"{i:08x}-0000-4000-8000-{i * 7919 % 99991:012x}", "a", "1", v.tolist(), True, 24, 1, "k") for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, VECTORS)
+    args = ("id", ["model_name", "model_version"], "embedding", "is_active", "embedding_dimensions")
+    one = {tuple(r) for r in neighbors.similar_pairs(df, *args, block=128).collect()}
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        other = {tuple(r) for r in neighbors.similar_pairs(df.repartition(9), *args, block=128).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = _pairs([r[0] for r in rows], x)
+    assert one == other and len(one & want) / len(want) >= 0.95
 
 
 # tokens
