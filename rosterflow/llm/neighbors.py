@@ -6,6 +6,7 @@ tree is the array of all vectors sorted by hash string, cut over the tasks at fi
 is divided symbol by symbol until at most BLOCK vectors are left, so every vector ends at the longest prefix it shares with
 enough others. Where the last division left too few, its vectors ascend in all trees alike: their candidates are those BLOCK
 vectors next to them in the array that share the prefix one symbol shorter. More vectors with one and the same string are
+all compared with each other as long as they fit in a task (HOT vectors, NUMBERS numbers); beyond that they are
 divided by directions of their own (``divided``). A vector is compared with all its candidates, and the best of all
 trees are merged per vector. A model with no more than BLOCK vectors is one block, so its result is exact. What is compared
 depends on the vectors and ids only, not on the number of tasks or the layout of the input.
@@ -29,6 +30,7 @@ TREES, PROBES = 2, 2
 ANCHORS, SAMPLE, PASSES = 1_024, 16_384, 4  # of all models together; passes of the fit
 BITS, BLOCK = 32, 4_096
 HOT = 65_536  # vectors under one prefix that go to one task
+NUMBERS = 1 << 24  # numbers of vectors that are compared in one go
 AXES, TURNS = 32, 4  # directions that divide a range of one hash string, and how often it is divided
 UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$"
 
@@ -173,8 +175,9 @@ def _nearest(ids: np.ndarray, x: np.ndarray, k: int, lo: int = 0, hi: int | None
     if k < 1:
         return
     kind = np.dtype([("id", "V16"), ("cos", "<f4")])
-    for first in range(0, len(asked), 512):
-        mine = asked[first : first + 512]
+    step = max(16, (1 << 21) // len(ids))  # rows of scores at a time
+    for first in range(0, len(asked), step):
+        mine = asked[first : first + step]
         s = x[mine] @ x.T
         s[np.arange(len(s)), mine] = -np.inf
         best = np.argpartition(s, s.shape[1] - k, axis=1)[:, -k:]
@@ -262,10 +265,11 @@ def similar_pairs(df: DataFrame, ident: str, model: list[str], vector: str, acti
             ids = np.frombuffer(b"".join(part.column("key").to_pylist()), [("high", ">u8"), ("low", ">u8")])
             for lo, hi, a, b in blocks(bits, block):
                 x = packed["q"][a:b].astype(np.float32) * packed["scale"][a:b, None]
-                if b - a <= block:
+                whole = max(block, min(HOT, NUMBERS // dims))
+                if b - a <= whole:
                     lists = _nearest(ids[a:b], x, k, lo - a, hi - a)
                 else:
-                    lists = (got for at in divided(x, block, part.column("first")[0].as_py()) for got in _nearest(ids[a:b][at], x[at], k))
+                    lists = (got for at in divided(x, whole, part.column("first")[0].as_py()) for got in _nearest(ids[a:b][at], x[at], k))
                 for own, near in lists:
                     yield pa.RecordBatch.from_arrays([pa.array([i.tobytes() for i in own], pa.binary()), pa.array(near, pa.binary())], ["key", "near"])
 
