@@ -274,6 +274,18 @@ def test_pieces_are_encoded_as_the_whole(text, chunk, overlap):
     assert e.decode_bytes(e.encode_ordinary(text)) == text.encode()
 
 
+def test_a_long_text_is_many_rows(spark, encoding, monkeypatch):
+    monkeypatch.setattr(tokens, "ROWS", 20_000)
+    texts = ["Für déjà vu, we're 42 of 漢字!\r\n" * 3_000, "a" * 30_000 + " b c" * 9_000, "x y\n\n  z " * 9_000, "ab " * 30_000, "short", None]
+    df = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)] + [(0, texts[0], "s")], "doc_id long, text string, source string").repartition(3)
+    got = sorted((r.doc_id, list(r.ids)) for r in tokens.encode_texts(df, "doc_id", "text").collect())
+    assert got == sorted((i, encoding.encode_ordinary(texts[i]) if texts[i] else []) for i in [0, *range(len(texts))])
+    counts = sorted((r.doc_id, r.source, r.n_tokens) for r in tokens.encode_texts(df, "doc_id", "text", count_only=True, carry=("source",)).collect())
+    assert counts == [(i, "s", len(ids)) for i, ids in got]
+    heads, tails = zip(*(tokens.boundaries(texts[3][s : s + tokens.CHUNK + tokens.OVERLAP + 1], False) for s in range(0, 40_000, tokens.CHUNK)))
+    assert len(tokens.stitched(list(heads), list(tails))) == len(heads)
+
+
 def test_encode_texts(spark, encoding):
     texts = [None, "", " ", "<|endoftext|> plain", "déjà vu 漢字 👩‍💻" * 5000, "a" * 60_000, "x y " * 20_000, "\r\n\r\n  \t"]
     df = spark.createDataFrame([(i, t, "n") for i, t in enumerate(texts)] + [(3, texts[3], "n")], "doc_id long, text string, ids string")
