@@ -1,7 +1,8 @@
 """Connected components of an edge list by alternating large-star and small-star steps.
 
 Each step is one partial aggregation (the least neighbour) and one join; no component, link list or
-label map ever reaches the driver. Between rounds the edges are written to the shared folder.
+label map ever reaches the driver. Between rounds the edges are written to the shared folder, and those of the round
+before are deleted.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.runtime import written
+from rosterflow.runtime import discard, written
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +35,8 @@ def connected(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     mark = lambda e: e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     before = mark(now)
     for _ in range(max_rounds):
-        now = written(_stars(_stars(now, True), False), "edges")
+        last, now = now, written(_stars(_stars(now, True), False), "edges")
+        discard(last)
         after = mark(now)
         if after == before:
             break

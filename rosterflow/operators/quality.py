@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,3 +36,15 @@ def diff(old: DataFrame, new: DataFrame, key: str, columns: Sequence[str]) -> Da
     b = new.select(F.col(key), F.struct(*columns).alias("_b"))
     how = F.when(F.col("_a").isNull(), "added").when(F.col("_b").isNull(), "removed").when(~F.col("_a").eqNullSafe(F.col("_b")), "changed")
     return a.join(b, key, "full").select(key, how.alias("change")).where("change is not null")
+
+
+def missing_columns(spark: SparkSession, frames: Mapping[str, DataFrame], wanted: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Columns that tables should have and lack."""
+    rows = [(t, x, "missing") for t, cols in wanted.items() for x in cols if x not in frames[t].columns]
+    return spark.createDataFrame(rows, "table_name string, column_name string, finding string")
+
+
+def vector_columns(spark: SparkSession, frames: Mapping[str, DataFrame]) -> DataFrame:
+    """Columns of tables that hold lists of numbers, as vectors do."""
+    rows = [(t, x, "vector") for t, df in frames.items() for x, kind in df.dtypes if kind in ("array<float>", "array<double>")]
+    return spark.createDataFrame(rows, "table_name string, column_name string, finding string")

@@ -105,6 +105,17 @@ def log_ambiguities(new: DataFrame, open_: DataFrame) -> DataFrame:
     return first.join(open_.where("status = 'open'").select(*filled).distinct(), key, "left_anti")
 
 
+def renew_ambiguities(new: DataFrame, log: DataFrame) -> DataFrame:
+    """What happens to new ambiguities given a log (id, status, created): the newest open entry of the same record is renewed
+    whatever its input was, else one is added. Repeated ambiguities of one record count once, the least input first.
+    """
+    key = ["entity_type", "source_system", "source_record_ref"]
+    once = new.groupBy(*key).agg(F.min("input_hash").alias("input_hash"))
+    newest = log.where("status = 'open'").groupBy(*key).agg(F.max(F.struct("created", "id")).alias("x"))
+    got = once.join(newest, key, "left")
+    return got.select(*key, "input_hash", F.when(c("x").isNull(), "insert").otherwise("renew").alias("action"), c("x.id").alias("log_id"))
+
+
 def name_sequence(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     """Records that only have a name, as if taken one after another: later ones see what earlier ones made.
 

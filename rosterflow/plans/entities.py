@@ -20,9 +20,13 @@ c = F.col
 H = q.HOST
 
 
-def _companies(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+_COMPANY = ("source_id", "name", "linkedin_id", "linkedin_username", "linkedin_url", "incoming_source")
+_PERSON = ("source_candidate_id", "raw_linkedin_username", "raw_linkedin_url", "legacy_source")
+
+
+def _companies(spark: SparkSession, d: str, *fields: str) -> tuple[DataFrame, DataFrame]:
     # normalized once and existing ones told apart once; every lookup below reads the keys
-    rows = written(resolve.company_keys(table(spark, d, "tmp_company_input").dropDuplicates(["source_id"]), H), "company_keys")
+    rows = written(resolve.company_keys(table(spark, d, "tmp_company_input").select(*_COMPANY, *fields).dropDuplicates(["source_id"]), H), "company_keys")
     old = F.coalesce(F.lower(F.trim("incoming_source")) == "legacy_backfill", F.lit(False))
     existing = winners(rows.where(old & ~c("clash")).withColumn("id", c("source_id")), ["lid", "uname", "url"], "id")
     return rows.where(~old), written(existing, "companies")
@@ -32,8 +36,8 @@ def resolve_company(spark: SparkSession, d: str) -> DataFrame:
     return resolve.resolve_companies(*_companies(spark, d))
 
 
-def _candidates(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    rows = table(spark, d, "tmp_candidate_input").dropDuplicates(["source_candidate_id"])
+def _candidates(spark: SparkSession, d: str, *fields: str) -> tuple[DataFrame, DataFrame]:
+    rows = table(spark, d, "tmp_candidate_input").select(*_PERSON, *fields).dropDuplicates(["source_candidate_id"])
     given, linked = n.profile_username(c("raw_linkedin_username"), H), n.candidate_username_in_url(c("raw_linkedin_url"), H)
     rows = rows.withColumns({"source_id": c("source_candidate_id"), "uname": F.coalesce(given, linked), "url": n.candidate_url(c("raw_linkedin_url"), H), "clash": F.coalesce(given != linked, F.lit(False))})
     rows = written(rows, "candidate_keys")
@@ -75,7 +79,8 @@ _CANONICAL = {"normalized_name": "nname", "username": "uname", "url_normalized":
 
 def _company_hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Existing companies, and all records that match one of them with its id."""
-    incoming, existing = _companies(spark, d)
+    stored = [x for x in _FIELDS if x not in (*_COMPANY, *_CANONICAL)]
+    incoming, existing = _companies(spark, d, *stored, "source_record_refs")
     hits = resolve.resolve_companies(incoming, existing).where("decision = 'match_existing'").select("source_id", "matched_id")
     rows = incoming.withColumn("phase", n.identity_phase(c("linkedin_id"), c("linkedin_username"), c("linkedin_url"))).withColumns({f: c(x) for f, x in _CANONICAL.items()} | {"source": c("incoming_source")})
     found = rows.select("source_id", "phase", "source", "source_record_refs", *_FIELDS).join(hits, "source_id")
@@ -108,7 +113,7 @@ def profile_merge(spark: SparkSession, d: str) -> DataFrame:
 
     The order is that of creation and id. The link as displayed is that of the record whose normalized link stays.
     """
-    incoming, existing = _candidates(spark, d)
+    incoming, existing = _candidates(spark, d, *[x for x in _PROFILE if x not in ("username", "url_normalized")], "legacy_created_at")
     hits = resolve.resolve_candidates(incoming, existing).where("decision = 'match_existing'").select("source_id", "matched_id")
     known = {"id", "full_name", "uname", "url", "raw_linkedin_url"}
     existing = existing.select(*[c(x) if x in known else F.lit("resume" if x == "legacy_source" else None).cast(existing.schema[x].dataType).alias(x) for x in existing.columns])
@@ -122,9 +127,9 @@ def profile_merge(spark: SparkSession, d: str) -> DataFrame:
 
 def profile_upsert(spark: SparkSession, d: str) -> DataFrame:
     """The profile table after the candidates that match by link or name fill its blanks; others are added."""
-    incoming, existing = _candidates(spark, d)
-    decided = resolve.resolve_candidates(incoming, existing)
     cols = ("full_name", "headline", "location", "phone")
+    incoming, existing = _candidates(spark, d, *cols)
+    decided = resolve.resolve_candidates(incoming, existing)
     took = incoming.join(decided, "source_id")
     fresh = took.where("decision = 'create_new'").select(c("source_id").alias("id"), *cols)
     hits = took.where("decision = 'match_existing' and matched_id <> source_id").groupBy("matched_id").agg(*[F.min_by(x, F.when(n.trimmed(c(x)).isNotNull(), c("source_id"))).alias(f"new_{x}") for x in cols])
@@ -175,7 +180,7 @@ def email_demotions(spark: SparkSession, d: str) -> DataFrame:
 
 def experience_match(spark: SparkSession, d: str) -> DataFrame:
     """Jobs of the nested history against those of the flat one of the same candidate."""
-    rows = table(spark, d, "tmp_experience_input").distinct().withColumn("company_id", F.lit(None).cast("string"))
+    rows = table(spark, d, "tmp_experience_input").dropDuplicates(["source_candidate_id", "source_path", "source_array_index"]).withColumn("company_id", F.lit(None).cast("string"))
     rows = rows.select(c("source_candidate_id").alias("candidate_id"), c("source_array_index").cast("string").alias("ref"), n.experience_hash(*[c("source_candidate_id") if x == "resolved_candidate_id" else c(x) for x in _HASH]).alias("hash"), "title", c("candidate_skip_reason").alias("skip"), "source_family", F.concat_ws("|", "source_candidate_id", "source_path", "source_array_index").alias("id"))
     return experience.match(rows.where("source_family = 'nested'"), rows.where("source_family = 'flat'"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from rosterflow.functions import normalize as n
 from rosterflow.operators import documents, quality, retrieval as r
 from rosterflow.plans import duck as q
-from rosterflow.runtime import shared_folder
+from rosterflow.runtime import shared_folder, written
 from rosterflow.sources.tables import table
 from rosterflow.streaming import ingest as stream
 
@@ -27,33 +27,32 @@ def _embeddings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _jobs(spark: SparkSession, d: str) -> DataFrame:
-    """The first vector of each label stands for a job, the second for its reference."""
-    w = Window.partitionBy("label").orderBy("vec_id")
-    return table(spark, d, "embeddings").withColumn("nth", F.row_number().over(w)).where("nth <= 2")
+    """The stated query set of all searches: every vector whose id is divisible by 100, each a job and a reference."""
+    return table(spark, d, "embeddings").where("vec_id % 100 = 0")
 
 
 def vector_topk(spark: SparkSession, d: str) -> DataFrame:
     """The ten nearest vectors of each job with a cosine of 0.1 or more."""
-    got = r.scores(_jobs(spark, d).where("nth = 1"), table(spark, d, "embeddings"), "vec_id", "vec_id", "embedding", 0.1, 10)
+    got = r.scores(_jobs(spark, d), table(spark, d, "embeddings"), "vec_id", "vec_id", "embedding", 0.1, 10)
     return got.select("query_id", "vector_id", _cut("score").alias("score"), c("rank").cast("bigint").alias("rank"))
 
 
 def candidate_collapse(spark: SparkSession, d: str) -> DataFrame:
     """All hits of each job collapsed to candidates with the best evidence."""
-    hits = r.scores(_jobs(spark, d).where("nth = 1"), _embeddings(spark, d), "vec_id", "vec_id", "embedding", 0.2, None)
+    hits = r.scores(_jobs(spark, d), _embeddings(spark, d), "vec_id", "vec_id", "embedding", 0.2, None)
     hits = hits.withColumn("candidate_id", c("vector_id") % 100).withColumn("job", c("query_id"))
     return r.collapse(hits, ["job", "candidate_id"]).select("job", "candidate_id", _cut("score").alias("score"), "best_vector", "n_hits")
 
 
 def reference_retrieval(spark: SparkSession, d: str) -> DataFrame:
-    """One pass for each reference; the best reference of each candidate stays."""
-    hits = r.scores(_jobs(spark, d).where("nth = 2"), _embeddings(spark, d), "vec_id", "vec_id", "embedding", 0.2, None)
+    """One pass for each reference, which doesn't find itself; the best reference of each candidate stays."""
+    hits = r.scores(_jobs(spark, d), _embeddings(spark, d), "vec_id", "vec_id", "embedding", 0.2, None).where("query_id <> vector_id")
     return r.collapse(hits.withColumn("candidate_id", c("vector_id") % 100), ["candidate_id"]).select("candidate_id", "best_query", _cut("score").alias("score"), "n_hits")
 
 
 def retrieval_recall(spark: SparkSession, d: str) -> DataFrame:
     """Recall and precision at ten of each job, its label taken for what is wanted."""
-    jobs = _jobs(spark, d).where("nth = 1").select(c("vec_id").alias("query_id"), "label")
+    jobs = _jobs(spark, d).select(c("vec_id").alias("query_id"), "label")
     gold = table(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n_gold"))
     hits = vector_topk(spark, d).join(table(spark, d, "embeddings").select(c("vec_id").alias("vector_id"), c("label").alias("got")), "vector_id")
     per = hits.join(jobs, "query_id").groupBy("query_id", "label").agg(F.count_if(c("got") == c("label")).alias("n_good"), F.count("*").alias("n_hits"))
@@ -66,12 +65,17 @@ def keyword_funnel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def rejection_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Candidates that were not rejected and aren't close (0.5) to one that was; users with errors are rejected."""
-    vectors = _embeddings(spark, d)
-    rejected = table(spark, d, "events").where("event_type = 'error'").select((c("user_id") % 100).alias("candidate_id")).distinct()
-    bad = vectors.where("label = 0").join(rejected, "candidate_id", "left_semi")
-    near = r.scores(bad, vectors, "vec_id", "vec_id", "embedding", 0.5, None).select(c("vector_id").alias("vec_id")).distinct()
-    return vectors.join(near, "vec_id", "left_anti").groupBy("candidate_id").agg(F.count("*").alias("n_left"))
+    """Vectors of candidates that were not rejected and aren't close (0.7) to any vector of one that was.
+
+    A candidate stands for ten vectors; candidates are rejected a quarter of whose user's events are errors. The ids go first, by an
+    anti-join; rejected vectors are a query set of their own, read in blocks.
+    """
+    vectors = table(spark, d, "embeddings").withColumn("candidate_id", F.floor(c("vec_id") / 10))
+    rejected = table(spark, d, "events").groupBy(c("user_id").alias("candidate_id")).agg(F.count("*").alias("n"), F.count_if(c("event_type") == "error").alias("bad")).where("4 * bad >= n").select("candidate_id")
+    bad = vectors.join(rejected, "candidate_id", "left_semi")
+    left = vectors.join(rejected, "candidate_id", "left_anti")
+    near = r.scores(bad, left, "vec_id", "vec_id", "embedding", 0.7, None).select(c("vector_id").alias("vec_id")).distinct()
+    return left.join(near, "vec_id", "left_anti").groupBy("candidate_id").agg(F.count("*").alias("n_left"))
 
 
 def recruiter_feedback_latest(spark: SparkSession, d: str) -> DataFrame:
@@ -86,7 +90,7 @@ def ensemble_rank(spark: SparkSession, d: str) -> DataFrame:
     """Candidates of all jobs and references in one ranking, weighted by the number of references and by source."""
     job = candidate_collapse(spark, d).groupBy("candidate_id").agg(F.max("score").alias("job_score"))
     ref = reference_retrieval(spark, d).select("candidate_id", c("score").alias("reference_score"), "best_query")
-    n_ref = _jobs(spark, d).where("nth = 2").agg(F.count("*").alias("n_references"))
+    n_ref = _jobs(spark, d).agg(F.count("*").alias("n_references"))
     weights = F.create_map(*[F.lit(x) for p in r.SOURCE_WEIGHTS.items() for x in p])
     sources = table(spark, d, "documents").groupBy((c("doc_id") % 100).alias("candidate_id")).agg(F.max(weights[c("source")]).alias("source_weight"))
     pool = job.join(ref, "candidate_id", "full").join(sources, "candidate_id", "left").crossJoin(F.broadcast(n_ref))  # one row
@@ -95,20 +99,23 @@ def ensemble_rank(spark: SparkSession, d: str) -> DataFrame:
 
 
 def bounded_iteration(spark: SparkSession, d: str) -> DataFrame:
-    """Up to three rounds: the best new candidate of a round becomes a reference of the next."""
+    """Up to three rounds for each job: the best new candidate of a round is the reference of the next.
+
+    All new candidates of a round at 0.15 or more go into the job's history, so only the new reference has to search.
+    """
     vectors = table(spark, d, "embeddings").select("vec_id", "embedding")
-    seeds = _jobs(spark, d).where("nth = 1 and label = 0").select("vec_id", "embedding")
-    out = None
+    seeds = _jobs(spark, d).select(c("vec_id").alias("job"), "vec_id", "embedding")
+    history = None
     for round_ in range(1, 4):
-        hits = r.scores(seeds, vectors, "vec_id", "vec_id", "embedding", 0.15, None).where("query_id <> vector_id")
-        hits = hits if out is None else hits.join(out.select("vector_id"), "vector_id", "left_anti")
-        top = r.collapse(hits, ["vector_id"]).orderBy(F.desc("score"), "vector_id").limit(5).select("vector_id", "score").withColumn("round", F.lit(round_)).collect()
-        if not top:  # five rows at most
-            break
-        new = spark.createDataFrame(top, "vector_id bigint, score double, round int")
-        out = new if out is None else out.unionByName(new)
-        seeds = seeds.unionByName(vectors.where(c("vec_id") == top[0].vector_id))
-    return out.select("vector_id", _cut("score").alias("score"), "round")
+        asked = seeds.select("vec_id", "embedding").dropDuplicates(["vec_id"])
+        hits = r.scores(asked, vectors, "vec_id", "vec_id", "embedding", 0.15, None)
+        new = hits.join(seeds.select("job", c("vec_id").alias("query_id")), "query_id").where("vector_id <> job").select("job", "vector_id", "score")
+        new = new if history is None else new.join(history.select("job", "vector_id"), ["job", "vector_id"], "left_anti")
+        new = written(new.withColumn("round", F.lit(round_)), "round")
+        history = new if history is None else history.unionByName(new)
+        best = new.groupBy("job").agg(F.min(F.struct((-c("score")).alias("s"), "vector_id")).alias("b")).select("job", c("b.vector_id").alias("vec_id"))
+        seeds = best.join(vectors, "vec_id")
+    return history.select("job", "vector_id", _cut("score").alias("score"), "round")
 
 
 def hard_filter_outcome(spark: SparkSession, d: str) -> DataFrame:
@@ -135,7 +142,7 @@ def aggregate_search_documents(spark: SparkSession, d: str) -> DataFrame:
     """One row for each candidate, rebuilt whole: current role, former employers, number of jobs and of days employed."""
     from rosterflow.operators.intervals import OPEN, interval_days, merge_intervals
 
-    rows = table(spark, d, "tmp_experience_input").distinct().where("source_candidate_id is not null")
+    rows = table(spark, d, "tmp_experience_input").dropDuplicates(["source_candidate_id", "source_path", "source_array_index"]).where("source_candidate_id is not null")
     now = F.coalesce("raw_is_current", F.lit(False))
     role = F.min(F.struct((~now).alias("past"), (-F.coalesce(F.unix_date("start_date_raw"), F.lit(-10**6))).alias("late"), F.coalesce("title", F.lit("")).alias("title"), F.coalesce("raw_company_name", F.lit("")).alias("company"), "source_path", "source_array_index")).alias("role")
     per = rows.groupBy("source_candidate_id").agg(F.count("*").alias("n_jobs"), F.countDistinct(n.company_name(c("raw_company_name"))).alias("n_companies"), role)
@@ -206,22 +213,32 @@ def resumable_ingest(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{at}/out").groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("n_ids"))
 
 
-_JOBS = "jobs as (select *, row_number() over (partition by label order by vec_id) as nth from embeddings)"
-_COS = "round(list_cosine_similarity(cast(j.embedding as double[]), cast(e.embedding as double[])), 6)"
-_HITS = lambda nth, t: f"hits as (select j.vec_id as query_id, e.vec_id as vector_id, {_COS} as score from jobs j, embeddings e where j.nth = {nth} and round(list_cosine_similarity(cast(j.embedding as double[]), cast(e.embedding as double[])), 9) >= {t})"
-_TOP = f"{_JOBS}, {_HITS(1, 0.1)}, topk as (select query_id, vector_id, floor(score * 10000 + 0.001) / 10000 as score, row_number() over (partition by query_id order by score desc, vector_id) as rank from hits qualify rank <= 10)"
+_JOBS = "jobs as (select * from embeddings where vec_id % 100 = 0)"
+_sim = lambda a, b: f"list_cosine_similarity(cast({a}.embedding as double[]), cast({b}.embedding as double[]))"
+_COS = f"round({_sim('j', 'e')}, 6)"
+_HITS = lambda t: f"hits as (select j.vec_id as query_id, e.vec_id as vector_id, {_COS} as score from jobs j, embeddings e where round({_sim('j', 'e')}, 9) >= {t})"
+_TOP = f"{_JOBS}, {_HITS(0.1)}, topk as (select query_id, vector_id, floor(score * 10000 + 0.001) / 10000 as score, row_number() over (partition by query_id order by score desc, vector_id) as rank from hits qualify rank <= 10)"
+
+
+def _round_sql(i: int) -> str:
+    seen = "" if i == 1 else " and not exists (select 1 from (" + " union all ".join(f"select job, vector_id from r{k}" for k in range(1, i)) + ") h where h.job = s.job and h.vector_id = e.vec_id)"
+    seed = "s1 as (select vec_id as job, embedding from jobs)" if i == 1 else f"s{i} as (select b.job, e.embedding from (select job, first(vector_id order by score desc, vector_id) as v from r{i - 1} group by 1) b join embeddings e on e.vec_id = b.v)"
+    return f"{seed}, r{i} as (select s.job, e.vec_id as vector_id, round({_sim('s', 'e')}, 6) as score from s{i} s, embeddings e where e.vec_id <> s.job and round({_sim('s', 'e')}, 9) >= 0.15{seen})"
+
+
 _words = r"list_distinct(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}+#]+'))"
 _list = lambda xs: "[" + ", ".join(f"'{x}'" for x in xs) + "]"
 _sec = "list_filter(string_split(chr(10) || replace(t, chr(10) || '## ', chr(10) || chr(10) || '## '), chr(10) || '## '), lambda x: trim(replace(x, chr(10), ' '), ' ') <> '')"
 SQL = {
     "vector_topk": f"with {_TOP} select query_id, vector_id, score, rank from topk",
-    "candidate_collapse": f"with {_JOBS}, {_HITS(1, 0.2)} select query_id as job, vector_id % 100 as candidate_id, floor(max(score) * 10000 + 0.001) / 10000 as score, first(vector_id order by score desc, vector_id) as best_vector, count(*) as n_hits from hits group by 1, 2",
-    "reference_retrieval": f"with {_JOBS}, {_HITS(2, 0.2)} select vector_id % 100 as candidate_id, first(query_id order by score desc, query_id, vector_id) as best_query, floor(max(score) * 10000 + 0.001) / 10000 as score, count(*) as n_hits from hits group by 1",
+    "candidate_collapse": f"with {_JOBS}, {_HITS(0.2)} select query_id as job, vector_id % 100 as candidate_id, floor(max(score) * 10000 + 0.001) / 10000 as score, first(vector_id order by score desc, vector_id) as best_vector, count(*) as n_hits from hits group by 1, 2",
+    "reference_retrieval": f"with {_JOBS}, {_HITS(0.2)} select vector_id % 100 as candidate_id, first(query_id order by score desc, query_id, vector_id) as best_query, floor(max(score) * 10000 + 0.001) / 10000 as score, count(*) as n_hits from hits where query_id <> vector_id group by 1",
     "retrieval_recall": f"with {_TOP}, per as (select t.query_id, j.label, count(*) filter (where e.label = j.label) as n_good, count(*) as n_hits from topk t join jobs j on j.vec_id = t.query_id join embeddings e on e.vec_id = t.vector_id group by 1, 2) select query_id, label, n_good, round(n_good / n_hits, 6) as precision, round(n_good / n_gold, 6) as recall from per join (select label, count(*) as n_gold from embeddings group by 1) using (label)",
     "keyword_funnel": f"with w as (select doc_id, {_words} as w from documents), g as (select doc_id, list_intersect(w, {_list(REQUIRED)}) as a, list_intersect(w, {_list(MAIN)}) as b, list_intersect(w, {_list(BROAD)}) as o from w), l as (select *, case when len(a) = {len(REQUIRED)} then 1 when len(b) > 0 then 2 when len(o) > 0 then 3 end as level from g), k as (select level, count(*) as n from l where level is not null group by 1) select doc_id, cast(level as bigint) as level, array_to_string(list_sort(list_distinct(list_concat(a, b, o))), '|') as evidence, round(len(a) / {len(REQUIRED)}, 6) as coverage from l where level is not null and coalesce((select sum(n) from k where k.level < l.level), 0) < 100",
-    "rejection_filter": "with v as (select *, vec_id % 100 as candidate_id from embeddings), rej as (select distinct user_id % 100 as candidate_id from events where event_type = 'error'), bad as (select * from v where label = 0 and candidate_id in (select candidate_id from rej)), near as (select distinct e.vec_id from bad j, v e where round(list_cosine_similarity(cast(j.embedding as double[]), cast(e.embedding as double[])), 9) >= 0.5) select candidate_id, count(*) as n_left from v where vec_id not in (select vec_id from near) group by 1",
+    "rejection_filter": f"with v as (select *, cast(floor(vec_id / 10) as bigint) as candidate_id from embeddings), rej as (select user_id as candidate_id from events group by 1 having 4 * count(*) filter (where event_type = 'error') >= count(*)), l as (select * from v where candidate_id not in (select candidate_id from rej)), near as (select distinct e.vec_id from v j, l e where j.candidate_id in (select candidate_id from rej) and round({_sim('j', 'e')}, 9) >= 0.7) select candidate_id, count(*) as n_left from l where vec_id not in (select vec_id from near) group by 1",
     "recruiter_feedback_latest": f"with a as (select *, case event_type {' '.join(f'when {chr(39)}{k}{chr(39)} then {chr(39)}{v}{chr(39)}' for k, v in ACTIONS.items())} end as action from events) select user_id, first(action order by ts desc, event_id desc) as action, first(event_id order by ts desc, event_id desc) as event_id, count(*) as n_actions from a where action is not null group by 1",
-    "ensemble_rank": f"with {_JOBS}, {_HITS(1, 0.2)}, refs as (select j.vec_id as query_id, e.vec_id as vector_id, {_COS} as score from jobs j, embeddings e where j.nth = 2 and round(list_cosine_similarity(cast(j.embedding as double[]), cast(e.embedding as double[])), 9) >= 0.2), a as (select vector_id % 100 as candidate_id, floor(max(score) * 10000 + 0.001) / 10000 as job_score from hits group by 1), b as (select vector_id % 100 as candidate_id, floor(max(score) * 10000 + 0.001) / 10000 as reference_score from refs group by 1), s as (select doc_id % 100 as candidate_id, max(case source {' '.join(f'when {chr(39)}{k}{chr(39)} then {v}' for k, v in r.SOURCE_WEIGHTS.items())} end) as w from documents group by 1), n as (select count(*) as n_references from jobs where nth = 2), p as (select coalesce(a.candidate_id, b.candidate_id) as candidate_id, job_score, reference_score from a full join b on a.candidate_id = b.candidate_id) select p.candidate_id, floor(((case when n_references = 0 then 1.0 when n_references = 1 then 0.6 when n_references <= 3 then 0.4 else 0.25 end)::double * coalesce(job_score, 0) + (case when n_references = 0 then 0 when n_references = 1 then 0.4 when n_references <= 3 then 0.6 else 0.75 end)::double * coalesce(reference_score, 0)) * coalesce(w, 1.0)::double * 10000 + 0.001) / 10000 as final_score, job_score, reference_score, n_references from p left join s on s.candidate_id = p.candidate_id, n",
+    "ensemble_rank": f"with {_JOBS}, {_HITS(0.2)}, refs as (select * from hits where query_id <> vector_id), a as (select vector_id % 100 as candidate_id, floor(max(score) * 10000 + 0.001) / 10000 as job_score from hits group by 1), b as (select vector_id % 100 as candidate_id, floor(max(score) * 10000 + 0.001) / 10000 as reference_score from refs group by 1), s as (select doc_id % 100 as candidate_id, max(case source {' '.join(f'when {chr(39)}{k}{chr(39)} then {v}' for k, v in r.SOURCE_WEIGHTS.items())} end) as w from documents group by 1), n as (select count(*) as n_references from jobs), p as (select coalesce(a.candidate_id, b.candidate_id) as candidate_id, job_score, reference_score from a full join b on a.candidate_id = b.candidate_id) select p.candidate_id, floor(((case when n_references = 0 then 1.0 when n_references = 1 then 0.6 when n_references <= 3 then 0.4 else 0.25 end)::double * coalesce(job_score, 0) + (case when n_references = 0 then 0 when n_references = 1 then 0.4 when n_references <= 3 then 0.6 else 0.75 end)::double * coalesce(reference_score, 0)) * coalesce(w, 1.0)::double * 10000 + 0.001) / 10000 as final_score, job_score, reference_score, n_references from p left join s on s.candidate_id = p.candidate_id, n",
+    "bounded_iteration": f"with {_JOBS}, {_round_sql(1)}, {_round_sql(2)}, {_round_sql(3)} " + " union all ".join(f"select job, vector_id, floor(score * 10000 + 0.001) / 10000 as score, {i} as round from r{i}" for i in (1, 2, 3)),
     "hard_filter_outcome": "with t as (select *, case when c_custkey % 7 = 0 then null else c_acctbal > 0 end as a, case when c_custkey % 11 <> 0 then c_mktsegment <> 'MACHINERY' end as b from customer) select c_custkey, case when a = false or b = false then 'fail' when a is null or b is null then 'needs_screening' else 'pass' end as outcome, array_to_string(list_filter([case when a is null then 'balance' end, case when b is null then 'segment' end], lambda x: x is not null), '|') as screening_reasons, case when c_nationkey < 5 then 1 else 0 end as preferred from t",
     "candidate_chunks": rf"with d as (select distinct external_source_ref, nullif(array_to_string(list_filter(list_transform(string_split(regexp_replace(regexp_replace(normalized_text, '[ \t\x0b\f]+', ' ', 'g'), '\r\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(x, '^[\s\x0b]+|[\s\x0b]+$', '', 'g')), lambda x: x <> ''), chr(10)), '') as t from tmp_source_document_input), s as (select external_source_ref, {_sec} as secs from d where t is not null), p as (select external_source_ref, flatten(list_transform(secs, lambda x: case when length(x) <= 1200 then [x] else string_split(x, chr(10)) end)) as pieces from s), u as (select external_source_ref, i - 1 as chunk_index, pieces[i] as x from (select *, unnest(range(1, len(pieces) + 1)) as i from p)), z as (select external_source_ref, chunk_index, trim(regexp_replace(x, '^' || chr(10) || '+', ''), ' ') as x from u where trim(x, ' ') <> '') select external_source_ref, cast(chunk_index as integer) as chunk_index, md5(x) as md5, cast(length(x) as integer) as char_count, cast(ceil(length(x) / 4) as integer) as token_estimate from z",
     "chunk_identity_violations": "select source_candidate_id, title, count(distinct md5(coalesce(text, ''))) as n_texts, count(*) as n_documents from documents where title is not null group by 1, 2 having count(distinct md5(coalesce(text, ''))) > 1",

@@ -44,16 +44,27 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        at = jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+    except Exception:  # the session has ended; nothing can be reached any more
+        pass
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table made by ``written`` that nothing reads any more, neither itself nor a DataFrame made from it."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        for spark, at in [w for w in _written if path.endswith(w[1].rsplit("/", 1)[1])]:
+            _written.remove((spark, at))
+            _delete(spark, at)
+
+
 def release() -> None:
     """Delete every table made by ``written`` so far; their DataFrames can't be read any more."""
     while _written:
-        spark, path = _written.pop()
-        try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-        except Exception:  # the session has ended; nothing can be reached any more
-            pass
+        _delete(*_written.pop())
 
 
 atexit.register(release)

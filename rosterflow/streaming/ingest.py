@@ -1,9 +1,7 @@
-"""Resumable ingestion: files are read as a stream, each batch is deduplicated against what is written already."""
+"""Resumable ingestion: files are read as a stream, keys seen before are left out."""
 
 from __future__ import annotations
 
-import json
-import os
 from collections.abc import Callable
 
 import pandas as pd
@@ -12,48 +10,35 @@ from pyspark.sql import functions as F
 
 from rosterflow.operators.intervals import IntervalMap
 from rosterflow.runtime import ship
+from rosterflow.streaming.checkpoint import read_json, write_json
 
 
-def guard(folder: str, settings: dict) -> None:
-    """Refuse to resume with other settings than those the output was begun with."""
-    at = os.path.join(folder, "settings.json")
-    if os.path.exists(at):
-        with open(at) as f:
-            if json.load(f) != settings:
-                raise ValueError("the output was begun with other settings")
-        return
-    os.makedirs(folder, exist_ok=True)
-    with open(at + ".new", "w") as f:
-        json.dump(settings, f)
-        f.flush()
-        os.fsync(f.fileno())
-    os.replace(at + ".new", at)
+def guard(spark: SparkSession, folder: str, settings: dict) -> None:
+    """Refuse to resume with other settings than those the output was begun with. ``folder`` may be on any shared store."""
+    at = f"{folder}/settings.json"
+    held = read_json(spark, at)
+    if held is None:
+        write_json(spark, at, settings)
+    elif held != settings:
+        raise ValueError("the output was begun with other settings")
 
 
 def ingest(spark: SparkSession, source: str, schema: str, key: str, target: str, checkpoint: str, prepare: Callable[[DataFrame], DataFrame] = lambda df: df, files_per_batch: int = 1) -> None:
     """Take in all files of ``source`` not taken in yet, then stop.
 
     State advances only after a batch is durable. A batch that is run again writes to the same path
-    (``batch=N``), so a replay changes nothing; rows whose key an earlier batch wrote are left out.
+    (``batch=N``), so a replay changes nothing. Keys seen before are held in the stream's own state, by key over all
+    tasks, so a batch costs what it brings and not what is there already. Of rows with one key any one is taken.
     """
 
     def write(batch: DataFrame, n: int) -> None:
-        rows = prepare(batch).dropDuplicates([key])
-        earlier = [f"{target}/batch={i}" for i in range(n) if _exists(spark, f"{target}/batch={i}/_SUCCESS")]
-        if earlier:
-            rows = rows.join(spark.read.parquet(*earlier).select(key), key, "left_anti")
-        rows.write.mode("overwrite").parquet(f"{target}/batch={n}")
+        prepare(batch).write.mode("overwrite").parquet(f"{target}/batch={n}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source).dropDuplicates([key])
     query = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-
-
 def windowed_counts(events: DataFrame, time: str, kind: str, length: str = "7 days", late: str = "1 day") -> DataFrame:
     """Events by kind and window with a watermark; the same plan over a table or a stream."""
     return events.withWatermark(time, late).groupBy(F.window(time, length), kind).agg(F.count("*").alias("n")).select(F.col("window.start").alias("week"), kind, "n")
