@@ -33,13 +33,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_records(spark: SparkSession, d: str) -> DataFrame:
-    """One record for each company, its three fields taken from the records that survive."""
-    companies = table(spark, d, "tmp_company_input")
-    best = survivor.company_survivors(companies)
-    values = companies.groupBy("source_id").agg(*[F.first(c).alias(c) for c in ("staff_count", "industries", "last_enrichment_sync")])
-    took = best.join(values, "source_id")
-    pick = lambda c: F.any_value(F.when(F.col("field") == c, F.col(c)), ignoreNulls=True).alias(c)
-    return took.groupBy("group_id").agg(pick("staff_count"), pick("industries"), pick("last_enrichment_sync"))
+    """One record for each company, its three fields those that survive; industries as JSON."""
+    return survivor.company_records(table(spark, d, "tmp_company_input")).withColumn("industries", F.to_json("industries"))
 
 
 def _names(spark: SparkSession, d: str) -> DataFrame:
@@ -111,6 +106,8 @@ votes as (
 select root as group_id, field, source_id from (select *, row_number() over (partition by root, field order by trust desc, synced desc nulls last, source_id) as rn from votes) where rn = 1
 """
 
+P3_RECORDS_SQL = f"select group_id, any_value(staff_count) filter (where field = 'staff_count') as staff_count, any_value(cast(to_json(industries) as varchar)) filter (where field = 'industries') as industries, any_value(last_enrichment_sync) filter (where field = 'last_enrichment_sync') as last_enrichment_sync from ({P3_SQL}) join (select distinct on (source_id) * from tmp_company_input) using (source_id) group by group_id"
+
 # written on its own, not from the operator's tables: characters folded one by one, then the address around the first @
 _folded = """array_to_string(list_transform(string_split(raw, ''), lambda c: case when unicode(c) between 65281 and 65374 then chr(unicode(c) - 65248) when unicode(c) = 12288 then ' ' when unicode(c) in (65377, 12290) then '.' else c end), '')"""
 _spaced = rf"""regexp_replace(regexp_replace(lower({_folded}), '[\p{{Cf}}\x{{115F}}\x{{1160}}\x{{17B4}}\x{{17B5}}\x{{3164}}\x{{FFA0}}\x{{034F}}\x{{FE00}}-\x{{FE0F}}\x00-\x08\x0e-\x1b\x7f-\x84\x86-\x9f]', '', 'g'), '[\s\x0b\x1c-\x1f\x85\p{{Z}}]+', ' ', 'g')"""
@@ -121,4 +118,4 @@ P1_SQL = f"with {_RECORDS} select kept_id, id as copy_id from (select id, min(id
 P1_GROUPS_SQL = f"with {_RECORDS} select value as address, min(id) as kept_id, count(*) as n_records from records where value is not null group by value"
 
 QUERIES = {"p1_found": p1_found, "p1_groups": p1_groups, "p3_found": p3_found, "p3_records": p3_records, "p5_found": p5_found, "p5_members": p5_members, "p6_found": p6_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_restored": p10_restored}
-SQL = {"p1_found": P1_SQL, "p1_groups": P1_GROUPS_SQL, "p3_found": P3_SQL}
+SQL = {"p1_found": P1_SQL, "p1_groups": P1_GROUPS_SQL, "p3_found": P3_SQL, "p3_records": P3_RECORDS_SQL}
