@@ -48,6 +48,18 @@ def decide(incoming: DataFrame, active: DataFrame) -> DataFrame:
     return got.select("external_source_ref", d.alias("d")).select("external_source_ref", "d.*")
 
 
+def applied(decisions: DataFrame) -> DataFrame:
+    """(external_source_ref, change, version, is_active): rows that ``decisions`` of ``decide`` write.
+
+    A new document is inserted; one that supersedes deactivates the row it matched, once however many do so; one that changes
+    nothing keeps its match; an ambiguous one goes to the log only.
+    """
+    change = F.when(c("decision") == "no_op", "keep").when(c("decision") == "ambiguous", "log").otherwise("insert")
+    new = decisions.select("external_source_ref", change.alias("change"), c("next_version").alias("version"), (~c("decision").isin("ambiguous", "no_op")).alias("is_active"))
+    old = decisions.where("decision = 'supersede'").groupBy(c("matched_id").alias("external_source_ref")).agg(F.min(c("next_version") - 1).alias("version"))
+    return new.unionByName(old.select("external_source_ref", F.lit("deactivate").alias("change"), "version", F.lit(False).alias("is_active")))
+
+
 def versions(docs: DataFrame) -> DataFrame:
     """Documents of one family in order of time: what each does and which version it is.
 

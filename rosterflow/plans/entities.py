@@ -180,7 +180,7 @@ def email_demotions(spark: SparkSession, d: str) -> DataFrame:
 
 def experience_match(spark: SparkSession, d: str) -> DataFrame:
     """Jobs of the nested history against those of the flat one of the same candidate."""
-    rows = table(spark, d, "tmp_experience_input").dropDuplicates(["source_candidate_id", "source_path", "source_array_index"]).withColumn("company_id", F.lit(None).cast("string"))
+    rows = table(spark, d, "tmp_experience_input").dropDuplicates(["source_candidate_id", "source_path", "source_array_index"]).withColumn("company_id", n.trimmed(c("incoming_linkedin_id")))
     rows = rows.select(c("source_candidate_id").alias("candidate_id"), c("source_array_index").cast("string").alias("ref"), n.experience_hash(*[c("source_candidate_id") if x == "resolved_candidate_id" else c(x) for x in _HASH]).alias("hash"), "title", c("candidate_skip_reason").alias("skip"), "source_family", F.concat_ws("|", "source_candidate_id", "source_path", "source_array_index").alias("id"))
     return experience.match(rows.where("source_family = 'nested'"), rows.where("source_family = 'flat'"))
 
@@ -194,17 +194,32 @@ def document_versions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_decisions(spark: SparkSession, d: str) -> DataFrame:
-    """Every document against the first one of its candidate and type."""
-    docs = _documents(spark, d)
-    active = docs.where("candidate_id is not null and kind is not null").groupBy("candidate_id", "kind").agg(F.min(F.struct(c("external_source_ref").alias("id"), "identity_key", "content_hash")).alias("a"))
-    return documents.decide(docs, active.select("candidate_id", "kind", "a.*", F.lit(1).alias("version")))
+    """Half of the documents, as they come in, against all of the other half, which are active; several of a family are ambiguous."""
+    docs = written(_documents(spark, d).withColumn("id", c("external_source_ref")).withColumn("held", F.md5("external_source_ref") < "8"), "documents")
+    active = docs.where("held and candidate_id is not null and kind is not null").select("id", "candidate_id", "kind", "identity_key", "content_hash", F.lit(1).alias("version"))
+    return documents.decide(docs.where("not held"), active)
+
+
+def document_apply(spark: SparkSession, d: str) -> DataFrame:
+    """What the decisions write: new rows with their version, and rows that are active no longer."""
+    return documents.applied(document_decisions(spark, d))
 
 
 def section_text(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "tmp_candidate_input").dropDuplicates(["source_candidate_id"])
+    """Profile texts of candidates in sections, jobs included; their hash, length and the fields they come from."""
+    rows = table(spark, d, "tmp_candidate_input").select("source_candidate_id", "headline", "summary", "location", "skills_text", "top_skills", "education_summary").dropDuplicates(["source_candidate_id"])
+    title, company = n.line_text(c("title")), n.line_text(c("raw_company_name"))
+    line = n.or_null(F.concat_ws("\n", F.concat(F.lit("company: "), company), F.concat(F.lit("title: "), title)))
+    order = F.struct((~F.coalesce("raw_is_current", F.lit(False))).alias("past"), (-F.coalesce(F.unix_date("start_date_raw"), F.lit(-(10**6)))).alias("late"), "source_path", "source_array_index")
+    jobs = table(spark, d, "tmp_experience_input").select("source_candidate_id", "source_path", "source_array_index", "title", "raw_company_name", "start_date_raw", "raw_is_current").dropDuplicates(["source_candidate_id", "source_path", "source_array_index"])
+    jobs = jobs.select("source_candidate_id", order.alias("o"), line.alias("line"), F.when(c("raw_is_current"), F.struct(title.alias("title"), company.alias("company"))).alias("now"))
+    work = jobs.groupBy("source_candidate_id").agg(F.array_sort(F.collect_list(F.when(c("line").isNotNull(), F.struct("o", "line")))).alias("lines"), F.min(F.when(c("now").isNotNull(), F.struct("o", "now"))).alias("current"))
+    got = rows.join(work, "source_candidate_id", "left")
     skills = F.coalesce(n.line_text(c("skills_text")), n.or_null(F.array_join("top_skills", "\n")))
-    text = documents.sectioned_text([("Headline", n.line_text(c("headline"))), ("Profile Summary", n.line_text(c("summary"))), ("Location", n.line_text(c("location"))), ("Skills", skills), ("Education", n.line_text(c("education_summary")))])
-    return rows.select("source_candidate_id", F.md5(text).alias("text_md5"), F.length(text).cast("bigint").alias("n_chars"))
+    sections = {"Headline": n.line_text(c("headline")), "Profile Summary": n.line_text(c("summary")), "Location": n.line_text(c("location")), "Current Title": c("current.now.title"), "Current Company": c("current.now.company"), "Skills": skills, "Education": n.line_text(c("education_summary")), "Work Experience": n.or_null(F.array_join(F.transform("lines", lambda x: x["line"]), "\n"))}
+    text = documents.sectioned_text(list(sections.items()))
+    used = F.array_join(F.array_compact(F.array(*[F.when(v.isNotNull(), F.lit(k)) for k, v in sections.items()])), "|")
+    return got.select("source_candidate_id", F.md5(text).alias("text_md5"), F.length(text).cast("bigint").alias("n_chars"), used.alias("fields_used"))
 
 
 def resolution_histogram(spark: SparkSession, d: str) -> DataFrame:
@@ -298,7 +313,20 @@ _CN = {**_CANONICAL, "source": "incoming_source"}
 _PN = {"username": "uname", "url_normalized": "url", "source": "legacy_source"}
 _UP = f"{q.source_rank('i.incoming_source')} > {q.source_rank('e.incoming_source')}"
 _lines = lambda x: rf"nullif(array_to_string(list_filter(list_transform(string_split(regexp_replace({x}, '\r\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(regexp_replace(x, '^[\s\x0b]+|[\s\x0b]+$', '', 'g'), '[ \t]+', ' ', 'g')), lambda x: x <> ''), chr(10)), '')"
-_section = " , ".join(f"'## {t}' || chr(10) || {v}" for t, v in (("Headline", _lines("headline")), ("Profile Summary", _lines("summary")), ("Location", _lines("location")), ("Skills", f"coalesce({_lines('skills_text')}, nullif(array_to_string(top_skills, chr(10)), ''))"), ("Education", _lines("education_summary"))))
+_parts = (("Headline", _lines("headline")), ("Profile Summary", _lines("summary")), ("Location", _lines("location")), ("Current Title", "now_title"), ("Current Company", "now_company"), ("Skills", f"coalesce({_lines('skills_text')}, nullif(array_to_string(top_skills, chr(10)), ''))"), ("Education", _lines("education_summary")), ("Work Experience", "work"))
+_section = " , ".join(f"'## {t}' || chr(10) || {v}" for t, v in _parts)
+_used = ", ".join(f"case when {v} is not null then '{t}' end" for t, v in _parts)
+_DECIDED = """act as (select * from docs where md5(external_source_ref) < '8' and candidate_id is not null and kind is not null),
+inc as (select * from docs where md5(external_source_ref) >= '8' and candidate_id is not null and kind is not null),
+byk as (select candidate_id, kind, identity_key, count(*) as kn, min(external_source_ref) as kid, min(content_hash) as kh from act where identity_key is not null group by 1, 2, 3),
+byh as (select candidate_id, kind, content_hash, count(*) as hn, min(external_source_ref) as hid from act where kind <> 'resume' or identity_key is null group by 1, 2, 3),
+anon as (select candidate_id, kind, count(*) as an from act where identity_key is null group by 1, 2),
+led as (select i.*, kn, kid, kh, hn, hid, an from inc i left join byk using (candidate_id, kind, identity_key) left join byh using (candidate_id, kind, content_hash) left join anon using (candidate_id, kind)),
+decided as (select external_source_ref,
+  case when identity_key is not null then case when kn > 1 then 'ambiguous' when kn = 1 and kh = content_hash then 'no_op' when kn = 1 then 'supersede' else 'parallel' end when hn = 1 then 'no_op' when hn > 1 or (kind = 'resume' and an > 0) then 'ambiguous' else 'parallel' end as decision,
+  case when identity_key is not null then case when kn = 1 then kid end when hn = 1 then hid end as matched_id,
+  cast(case when identity_key is not null then case when kn > 1 then null when kn = 1 and kh <> content_hash then 2 else 1 end when hn = 1 then 1 when hn > 1 or (kind = 'resume' and an > 0) then null else 1 end as integer) as next_version,
+  case when identity_key is not null then case when kn > 1 then case when kind = 'linkedin_profile' then 'multiple_active_linkedin_profiles' else 'multiple_active_document_identity_matches' end end when hn > 1 then case when kind = 'resume' then 'multiple_anonymous_resume_content_matches' else 'multiple_same_content_matches' end when hn is null and kind = 'resume' and an > 0 then 'anonymous_resume_identity_conflict' end as ambiguity_type from led)"""
 SQL = {
     "resolve_company": f"with {_KEYS} select source_id, decision, matched_id, match_basis, ambiguity_type from resolved",
     "resolve_candidate": f"with {_PKEYS} select source_id, decision, matched_id, match_basis, ambiguity_type from resolved",
@@ -316,12 +344,13 @@ SQL = {
     "email_primary_plan": f"with {_MAIL}, {_PRIMARY} select candidate_id, n_emails, n_flagged, case when n_flagged = 1 then 'flagged' when n_flagged > 1 then 'best_flagged' when n_emails = 1 then 'only' when hint is not null then 'fallback' else 'none' end as rule, {_CHOICE} as primary_email from per left join hinted using (candidate_id)",
     "email_merge": f"with {_MAIL}, seen as (select *, row_number() over (partition by candidate_id, email order by created asc nulls last, row_id) as nth from rows_), o as (select * from seen where nth = 1), w as (select *, row_number() over (partition by candidate_id, email order by priority, is_primary desc, verification_date desc nulls last, verification_attempts desc, last_verification_attempt desc nulls last, created asc nulls last, row_id) as best from seen where nth > 1) select o.candidate_id, o.email, o.row_id, w.row_id as merged_row_id, {', '.join(f"case when {q.trimmed(f'o.{x}')} is not null then o.{x} else coalesce({q.trimmed(f'w.{x}')}, o.{x}) end as {x}" for x in ('kind', 'source', 'quality', 'result', 'resultcode', 'subresult'))}, greatest(o.verification_date, w.verification_date) as verification_date, greatest(o.verification_attempts, w.verification_attempts) as verification_attempts, greatest(o.last_verification_attempt, w.last_verification_attempt) as last_verification_attempt, md5(coalesce(o.raw_response, w.raw_response, '')) as response_md5 from o join w on w.best = 1 and w.candidate_id = o.candidate_id and w.email = o.email",
     "email_demotions": f"with {_MAIL}, {_PRIMARY}, plan as (select candidate_id, {_CHOICE} as choice from per left join hinted using (candidate_id)) select r.candidate_id, r.email, choice as primary_email, count(*) as n_rows from rows_ r join plan p on p.candidate_id = r.candidate_id where r.is_primary and ((choice is not null and r.email <> choice) or (choice is null and r.source in ('legacy_candidate_emails', 'legacy_candidates_email_fallback'))) group by 1, 2, 3",
-    "experience_match": f"with r as (select distinct source_candidate_id as candidate_id, cast(source_array_index as varchar) as ref, {q.experience_hash('source_candidate_id', 'title', 'cast(null as varchar)', 'raw_company_name', 'start_date_raw', 'start_date_precision_raw', 'end_date_raw', 'end_date_precision_raw', 'raw_is_current')} as hash, title, candidate_skip_reason as skip, source_family, source_candidate_id || '|' || source_path || '|' || source_array_index as id from tmp_experience_input), x as (select * from r where source_family = 'flat'), a as (select candidate_id, ref, count(*) as n, min(id) as id, min_by(hash, id) as h, min_by(title, id) as t from x group by 1, 2), b as (select candidate_id, hash, count(*) as n, min(id) as id, min_by(title, id) as t from x group by 1, 2), j as (select i.*, a.id as aid, a.n as an, a.h as ah, b.id as bid, b.n as bn, case when a.id is not null then a.t else b.t end as old_title from r i left join a on a.candidate_id = i.candidate_id and a.ref = i.ref left join b on b.candidate_id = i.candidate_id and b.hash = i.hash where i.source_family = 'nested'), k as (select *, {q.search_text('old_title')} is distinct from {q.search_text('title')} and title is not null as retitled from j), l as (select *, case when skip is not null then 'skip' when an > 1 or bn > 1 or coalesce(aid <> bid, false) then 'ambiguous' when coalesce(aid, bid) is null then 'create_new' when retitled or coalesce(ah <> hash, false) then 'match_existing' else 'no_op' end as action from k) select candidate_id, ref, action, case when action in ('match_existing', 'no_op') then coalesce(aid, bid) end as matched_id, case when action = 'match_existing' then case when retitled then title else old_title end end as new_title from l",
+    "experience_match": f"with r as (select distinct source_candidate_id as candidate_id, cast(source_array_index as varchar) as ref, {q.experience_hash('source_candidate_id', 'title', q.trimmed('incoming_linkedin_id'), 'raw_company_name', 'start_date_raw', 'start_date_precision_raw', 'end_date_raw', 'end_date_precision_raw', 'raw_is_current')} as hash, title, candidate_skip_reason as skip, source_family, source_candidate_id || '|' || source_path || '|' || source_array_index as id from tmp_experience_input), x as (select * from r where source_family = 'flat'), a as (select candidate_id, ref, count(*) as n, min(id) as id, min_by(hash, id) as h, min_by(title, id) as t from x group by 1, 2), b as (select candidate_id, hash, count(*) as n, min(id) as id, min_by(title, id) as t from x group by 1, 2), j as (select i.*, a.id as aid, a.n as an, a.h as ah, b.id as bid, b.n as bn, case when a.id is not null then a.t else b.t end as old_title from r i left join a on a.candidate_id = i.candidate_id and a.ref = i.ref left join b on b.candidate_id = i.candidate_id and b.hash = i.hash where i.source_family = 'nested'), k as (select *, {q.search_text('old_title')} is distinct from {q.search_text('title')} and title is not null as retitled from j), l as (select *, case when skip is not null then 'skip' when an > 1 or bn > 1 or coalesce(aid <> bid, false) then 'ambiguous' when coalesce(aid, bid) is null then 'create_new' when retitled or coalesce(ah <> hash, false) then 'match_existing' else 'no_op' end as action from k) select candidate_id, ref, action, case when action in ('match_existing', 'no_op') then coalesce(aid, bid) end as matched_id, case when action = 'match_existing' then case when retitled then title else old_title end end as new_title from l",
     "document_versions": f"with {_DOCS}, o as (select *, lag(content_hash) over w as before, lead(external_source_ref) over w as after from docs where candidate_id is not null window w as (partition by candidate_id, kind, identity_key order by effective_at asc nulls last, external_source_ref)) select external_source_ref, candidate_id, kind, case when before is null then 'insert' when content_hash <> before then 'supersede' else 'no_op' end as action, cast(sum(case when content_hash is distinct from before then 1 else 0 end) over (partition by candidate_id, kind, identity_key order by effective_at asc nulls last, external_source_ref) as bigint) as version, after is null as is_last from o",
-    "document_decisions": f"with {_DOCS}, act as (select candidate_id, kind, min(external_source_ref) as id, min_by(identity_key, external_source_ref) as k, min_by(content_hash, external_source_ref) as h from docs where candidate_id is not null and kind is not null group by 1, 2) select d.external_source_ref, case when d.identity_key is not null and a.k = d.identity_key and a.h = d.content_hash then 'no_op' when d.identity_key is not null and a.k = d.identity_key then 'supersede' when d.identity_key is not null then 'parallel' when a.h = d.content_hash then 'no_op' when d.kind = 'resume' and a.k is null then 'ambiguous' else 'parallel' end as decision, case when a.k = d.identity_key or (d.identity_key is null and a.h = d.content_hash) then a.id end as matched_id, cast(case when d.identity_key is not null and a.k = d.identity_key then case when a.h = d.content_hash then 1 else 2 end else 1 end as integer) as next_version, cast(case when d.identity_key is null and a.h <> d.content_hash and d.kind = 'resume' and a.k is null then 'anonymous_resume_identity_conflict' end as varchar) as ambiguity_type from docs d join act a on a.candidate_id = d.candidate_id and a.kind = d.kind",
-    "section_text": f"select source_candidate_id, md5(t) as text_md5, length(t) as n_chars from (select source_candidate_id, nullif(array_to_string(list_filter([{_section}], lambda x: x is not null), chr(10) || chr(10)), '') as t from (select distinct * from tmp_candidate_input))",
+    "document_decisions": f"with {_DOCS}, {_DECIDED} select external_source_ref, decision, matched_id, next_version, ambiguity_type from decided",
+    "document_apply": f"with {_DOCS}, {_DECIDED} select external_source_ref, case decision when 'no_op' then 'keep' when 'ambiguous' then 'log' else 'insert' end as change, next_version as version, decision <> 'ambiguous' and decision <> 'no_op' as is_active from decided union all select matched_id, 'deactivate', min(next_version - 1), false from decided where decision = 'supersede' group by 1",
+    "section_text": f"with e as (select distinct on (source_candidate_id, source_path, source_array_index) *, {_lines('title')} as t, {_lines('raw_company_name')} as k from tmp_experience_input), w as (select *, nullif(concat_ws(chr(10), 'company: ' || k, 'title: ' || t), '') as line, row_number() over (partition by source_candidate_id order by coalesce(raw_is_current, false) desc, coalesce(start_date_raw, date '0001-01-01') desc, source_path, source_array_index) as rn from e), j as (select source_candidate_id, nullif(string_agg(line, chr(10) order by rn), '') as work, arg_min({{'t': t, 'k': k}}, rn) filter (where raw_is_current) as now from w group by 1), p as (select distinct c.*, work, now.t as now_title, now.k as now_company from (select distinct * from tmp_candidate_input) c left join j using (source_candidate_id)) select source_candidate_id, md5(t) as text_md5, length(t) as n_chars, array_to_string(list_filter([{_used}], lambda x: x is not null), '|') as fields_used from (select *, nullif(array_to_string(list_filter([{_section}], lambda x: x is not null), chr(10) || chr(10)), '') as t from p)",
     "resolution_histogram": f"with {_KEYS} select decision, match_basis, count(*) as n, cast(grouping(decision, match_basis) as bigint) as level from resolved group by rollup (decision, match_basis)",
     "resolution_samples": f"with {_KEYS} select decision, source_id, rn from (select decision, source_id, row_number() over (partition by decision order by source_id) as rn from resolved) where rn <= 5",
     "email_summary": f"with {_MAIL} select 1 as step, 'rows' as what, count(*) as n from rows_ union all select 2, 'collapsed', cast(sum(greatest(n_rows - 1, 0)) as bigint) from survivors union all select 3, 'conflicts', count(*) filter (where conflict) from checked",
 }
-QUERIES = {f.__name__: f for f in (resolve_company, resolve_candidate, ambiguity_evidence, ambiguity_log, company_name_sequential, company_sequence, company_merge, company_refs, profile_merge, profile_upsert, email_survivors, email_lineage, email_fallback_suppression, email_conflicts, email_primary_plan, email_merge, email_demotions, experience_match, document_versions, document_decisions, section_text, resolution_histogram, resolution_samples, email_summary)}
+QUERIES = {f.__name__: f for f in (resolve_company, resolve_candidate, ambiguity_evidence, ambiguity_log, company_name_sequential, company_sequence, company_merge, company_refs, profile_merge, profile_upsert, email_survivors, email_lineage, email_fallback_suppression, email_conflicts, email_primary_plan, email_merge, email_demotions, experience_match, document_versions, document_decisions, document_apply, section_text, resolution_histogram, resolution_samples, email_summary)}
