@@ -129,7 +129,8 @@ def _buckets(records: DataFrame, limit: int) -> DataFrame:
     """(bucket, salt, value, id, first), each (bucket, salt) in one task and sorted; ``first`` is the least id of a spread value."""
     spark = records.sparkSession
     ship(spark)
-    now = written(records.select("id", "value").where("id is not null and value is not null"), "canonical").withColumn("bucket", F.substring("value", 1, 0))
+    # written before nulls are left out, as a filter on the value would compute it twice
+    now = written(records.select("id", "value"), "canonical").where("id is not null and value is not null").withColumn("bucket", F.substring("value", 1, 0))
     fit = None
     while True:
         seen = now.groupBy("bucket").agg(F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.min("id").alias("first")).where(F.col("n") > limit)
