@@ -21,6 +21,7 @@ import re
 import unicodedata
 from collections.abc import Callable, Iterator, Mapping
 from functools import lru_cache
+from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,6 +58,7 @@ WORLD = 10_000  # organisations at least among which a name may lie near another
 EXCESS = 3.0  # power by which an origin suffers that isn't commoner than its errors
 SEEN, ALONE = 64, 100  # frequencies told apart; forms whose worth is the default that all organisations are rare
 COMMON = 20  # forms that make a word a common one, at least
+LONG = 12  # consonants of a word above which two or three of them aren't keys any more, but single ones
 NEAR = -5.0  # cost of reading a word through a typo
 SMALL = {"of", "and", "the", "by", "for", "de", "und", "et"}
 
@@ -153,6 +155,7 @@ def read(name: str) -> dict | None:
         tokens = tokens[1:]
     while len(tokens) > 1 and _legal(tokens[-1]):
         tokens = tokens[:-1]
+    whole = " ".join([given, *tokens] if given else tokens) or plain
     if not by and len(tokens) > 1 and (_given(tokens[0]) or len(tokens[0]) == 1) and not of:
         given, tokens = tokens[0], tokens[1:]
     words = [t for t in tokens if t not in SMALL and one_error(t, "studio") is None]
@@ -182,8 +185,8 @@ def read(name: str) -> dict | None:
             proper.append(t)
     if not proper:
         if not given or len(given) == 1:
-            return {"proper": [], "initial": "", "given": "", "trades": [], "raw": plain, "words": []} if plain else None
-        proper, given = [given], None
+            return {"proper": [], "initial": "", "given": "", "trades": [], "raw": whole, "words": []} if plain else None
+        proper, given, words = [given], None, [given, *words]
     full = (_given(given) or given) if given else ""
     # a trade read through a typo may be another, unlisted word, so the words are kept as they are
     plainly = words if best is not None and found[best][1] <= NEAR and not initial else []
@@ -198,44 +201,88 @@ def _less(t: str) -> set[str]:
     return {t} | {t[:i] + t[i + 1 :] for i in range(len(t))}
 
 
-def _keys(r: dict, common: Mapping[str, int]) -> Iterator[tuple[str, int]]:
-    """Keys that survive one error, with the roles in which a form has them: 1 origin, 2 variant, 3 both."""
+def _expansions(w: str) -> set[str]:
+    """Keys of all that ``_short_for`` takes for ``w``, of heads of it too; ``_shortened`` has those of an abbreviation."""
+    out = {f"p{w[:k]}" for k in range(3, len(w))} | {f"u{w[0]}{x}" for x in set(w[1:])}
+    firm = [x for x in w[1:] if x not in "aeiou"]
+    if len(firm) > LONG:
+        return out | {f"l{w[0]}{x}" for x in set(firm)}
+    return out | {f"t{w[0]}{''.join(x)}" for n in (2, 3) for x in combinations(firm, n)}
+
+
+def _shortened(a: str) -> Iterator[str]:
+    if len(a) >= 3:
+        yield f"p{a}"
+    if len(a) > 1 and 3 * sum(c in "aeiou" for c in a) <= len(a) + (len(a) < 3):
+        firm = [x for x in a[1:] if x not in "aeiou"]
+        if len(firm) > 1:
+            yield f"t{a[0]}{''.join(firm[:3])}"
+            yield f"l{a[0]}{firm[0]}"
+        else:
+            yield f"u{a[0]}{(firm or a[1:])[0]}"
+
+
+def _stems(w: str) -> set[str]:
+    """What ``nickname`` looks for at the head of a full name."""
+    out = {w[: len(w) - len(e)] for e in ENDINGS if w.endswith(e)}
+    return {x for x in out | {x[:-1] for x in out if x[-2:-1] == x[-1:]} if len(x) >= 3}
+
+
+def _keys(r: dict) -> Iterator[tuple[str, int]]:
+    """Keys that survive one error, with the roles in which a form has them: 1 origin, 2 variant, 3 both.
+
+    Whatever ``errors`` accepts has a key in common. Keys that aren't narrow by themselves have a trade; for variants that tell none, origins have them without.
+    """
+    for x in _less(r["raw"]) if r["raw"] else ():
+        yield f"R{x}", 3
     if r["raw"]:
         return
-    proper, joined = r["proper"], "".join(r["proper"])
-    trades = "/".join(r["trades"])
+    proper, joined, trades = r["proper"], "".join(r["proper"]), r["trades"]
+
+    def traded(key: str, role: int) -> Iterator[tuple[str, int]]:
+        for t in trades:
+            yield f"{key}|{t}", role
+        if role & 1 or not trades:
+            yield f"{key}|", role & 1 if trades else role
+
     for x in _less(joined):
         yield f"J{x}", 3
     head = _less(proper[0])
     if len(proper) > 1:
         for x in head:
             yield f"I{x}|{proper[1][0]}", 1
-            for t in r["trades"]:
+            for t in trades:
                 yield f"D{x}|{t}", 1
             yield f"N{x}", 1
-        yield f"O{'|'.join(sorted(proper))}|{trades}", 3
+        yield from traded(f"O{'|'.join(sorted(proper))}", 3)
         yield f"L{''.join(proper[:-1])}", 1
         yield f"L{joined}", 2
-        for i, w in enumerate(proper):
-            rest = [*proper[:i], "*", *proper[i + 1 :]]
-            # where all other words are common ones, an abbreviation must keep more of the word, or keys would be hot
-            told = 2 if r["trades"] or any(x not in common for x in rest if x != "*") else 4
-            yield f"W{'|'.join(rest)}|{trades}|{NICK.get(w, w)[:told]}", 3
-            if i and told == 2:
-                yield f"Z{'|'.join(rest)}|{trades}|{w[0]}{w[-1]}", 3
-    for i, w in enumerate(r["words"]):
-        if len(r["words"]) > 1:
-            yield f"W{'|'.join([*r['words'][:i], '*', *r['words'][i + 1 :]])}||{w[:2]}", 2
-    if len(proper) == 1 and r["initial"]:
-        for x in head:
-            yield f"I{x}|{r['initial']}", 2
-    elif len(proper) == 1:
+        rest = "|".join(proper[1:])
+        if proper[0] in NICK:
+            yield from traded(f"K{rest}|{NICK[proper[0]]}", 3)
+        for x in _stems(proper[0]):
+            yield from traded(f"W*|{rest}|p{x}", 2)
+            yield from traded(f"Q{rest}|{x}", 1)
+        for k in range(3, len(proper[0]) - 1):
+            yield from traded(f"Q{rest}|{proper[0][:k]}", 2)
+    else:
         for x in head:
-            if r["trades"]:
-                for t in r["trades"]:
-                    yield f"D{x}|{t}", 2
-            else:
+            if r["initial"]:
+                yield f"I{x}|{r['initial']}", 2
+            for t in trades:
+                yield f"D{x}|{t}", 2
+            if not trades:
                 yield f"N{x}", 2
+    for i, w in enumerate(proper):
+        rest = "|".join([*proper[:i], "*", *proper[i + 1 :]])
+        for k in _expansions(w):
+            yield from traded(f"W{rest}|{k}", 1)
+        for k in _shortened(w):
+            yield from traded(f"W{rest}|{k}", 2)
+    for i, w in enumerate(r["words"]):
+        rest = "|".join([*r["words"][:i], "*", *r["words"][i + 1 :]])
+        for k in _shortened(w):
+            yield f"W{rest}|{k}|", 2
 
 
 def nickname(a: str, b: str) -> bool:
@@ -254,6 +301,11 @@ def errors(v: dict, c: dict) -> dict[str, int] | None:
         if n:
             out[kind] = out.get(kind, 0) + n
 
+    if v["raw"] or c["raw"]:
+        short = [[w for w in x["raw"].split() if len(w) == 1] for x in (v, c)]  # initials are no typos of each other
+        d = one_error(v["raw"], c["raw"]) if v["raw"] and c["raw"] and short[0] == short[1] else None
+        add("typo", d or 0)
+        return None if d is None else out
     if v["words"] and not c["trades"] and v["given"] == c["given"] and len(v["words"]) == len(c["proper"]):
         odd = [(p, q) for p, q in zip(v["words"], c["proper"]) if p != q]
         if len(odd) == 1 and len(odd[0][0]) > 1 and _short_for(*odd[0]):
@@ -308,15 +360,21 @@ def errors(v: dict, c: dict) -> dict[str, int] | None:
 
 
 def coincidence(v: dict, c: dict, found: Mapping[str, int], common: Mapping[str, int], forms: int, letter: float) -> float:
-    """Logarithm of the number of organisations other than ``c`` that by chance have what ``v`` has of it, at most 1/2."""
+    """Logarithm of the number of organisations other than ``c`` that by chance have what ``v`` has of it, at most 1/2 unless it is a single abbreviated word."""
     told = lambda w: min(letter * len(w), math.log(forms / common[w]) if w in common else math.inf)
-    out = math.log(max(WORLD, forms)) - sum(map(told, v["proper"])) - letter * len(v["initial"])
+    names = v["proper"] or [v["raw"]]
+    out = math.log(max(WORLD, forms)) - sum(map(told, names)) - letter * len(v["initial"])
     if v["trades"] and c["trades"]:
         out -= min(told(t) for t in set(v["trades"]) & set(c["trades"]))
     if v["given"] and c["given"]:
         out -= told(v["given"])
     if found.get("typo"):
-        out += math.log(54 * sum(map(len, v["proper"])))  # names within one error of a name
+        out += math.log(54 * sum(map(len, names)))  # names within one error of a name
+    if found.get("abbreviated") and len(v["proper"]) == len(c["proper"]) == 1:
+        # a short word by itself is short for many, a head in one way, consonants in as many as they can be chosen
+        p, q = v["proper"][0], c["proper"][0]
+        kept, of = (sum(x not in "aeiou" for x in w[1:]) for w in (p, q))
+        return out + (0.0 if q.startswith(p) else math.log(math.comb(of, kept)))
     return min(out, math.log(0.5))
 
 
@@ -338,18 +396,17 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(forms, _TYPE)], ["name", "n", "form", "body"])
 
 
-def _emit(common: Mapping[str, int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            forms, hashes, roles = [], [], []
-            for form, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for k, role in _keys(body, common):
-                    forms.append(form)
-                    hashes.append(int.from_bytes(hashlib.blake2b(k.encode(), digest_size=8).digest(), "big", signed=True))
-                    roles.append(role)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(roles, pa.int8()), pa.array(forms, pa.string())], ["key", "role", "form"])
-
-    return run
+def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        forms, hashes, roles = [], [], []
+        for form, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            held: dict[str, int] = {}
+            for k, role in _keys(body):
+                held[k] = held.get(k, 0) | role
+            forms.extend([form] * len(held))
+            hashes.extend(int.from_bytes(hashlib.blake2b(k.encode(), digest_size=8).digest(), "big", signed=True) for k in held)
+            roles.extend(held.values())
+        yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(roles, pa.int8()), pa.array(forms, pa.string())], ["key", "role", "form"])
 
 
 _ERRORS = pa.list_(pa.int32())
@@ -429,7 +486,7 @@ def organisations(names: DataFrame, name: str = "name") -> DataFrame:
     spelled = written(counts.mapInArrow(_read, f"name string, n bigint, form string, body {_FORM}"), "spellings")
     forms = written(spelled.groupBy("form").agg(F.sum("n").alias("n"), F.max_by("body", F.struct(F.size("body.proper"), "name")).alias("body")), "forms")
     common, n_forms, letter = _learned(forms)
-    keys = written(forms.select("form", "body").mapInArrow(_emit(common), "key bigint, role byte, form string"), "keys")
+    keys = written(forms.select("form", "body").mapInArrow(_emit, "key bigint, role byte, form string"), "keys")
     variant = keys.where("role > 1").select("key", F.col("form").alias("v"))
     origin = keys.where("role % 2 = 1").select("key", F.col("form").alias("c"))
     pairs = variant.join(origin, "key").where("v <> c").select("v", "c").distinct()

@@ -146,6 +146,58 @@ def test_self_is_a_candidate_and_lists_gate_nothing(spark):
     assert got == {tuple(sorted(n for n, _ in g)) for g in TOGETHER}
 
 
+# what shared no key: a trade untold beside another error, other words all common, a head in one word, letters beyond the second, nicknames listed otherwise, initials on both sides, no proper name
+KEPT_APART = [[("Robins", 1000), ("RBS", 3)], [("Sunrise", 1000), ("Sun", 3)], [("Hyperion", 1000), ("HP", 20)], [("J Consulting", 20), ("K Consulting", 1)]]
+LINKED = [[("Kemvik Ronal Analytics", 50), ("Ronal Kemvik", 1)], [("Marvexin Hotel", 40), ("Mrvx Hotel", 1)], [("Brixtonia Foods", 50), ("Brix. Foods", 1)], [("Harbor Stone Analytics", 50), ("Hrbr Stone Analytics", 1)], [("Tolvero Pegasus Analytics", 50), ("Tolvero Peg Analytics", 1)], [("Umbrel Lisken P Foods", 30), ("Umbrell P Foods", 1)], [("Consulting Group", 9), ("Consulting Group Ltd", 1)], [("Capital Holdings", 9), ("Captal Holdings", 1)]]
+
+
+def test_whatever_meets_the_threshold_is_a_candidate(spark):
+    hotels = [(f"{a}{b}la Hotel",) for a in ("Wend", "Zarg", "Plom", "Quix", "Jorv") for b in "aeioutnrs" for _ in range(3)]
+    df = spark.createDataFrame(hotels + [(n,) for g in KEPT_APART + LINKED for n, k in g for _ in range(k)], "name string")
+    got = {tuple(r) for r in spellings.spelling_pairs(df).collect()}
+    assert got == {tuple(sorted(n for n, _ in g)) for g in LINKED}
+
+
+_word = st.one_of(st.text("abrst", min_size=1, max_size=6), st.sampled_from(["tedd", "ted", "teddington", "theodore", "kit", "kitte", "peg", "pegasus", "annie", "annex", "bill", "billing", "rob", "st" * 30]))
+_body = st.builds(lambda p, i, g, t, w, r: {"proper": [] if r else p, "initial": "" if r else i, "given": "" if r else g, "trades": [] if r else t, "raw": r, "words": [] if r else w}, st.lists(_word, min_size=1, max_size=3), st.sampled_from(["", "", "a", "b"]), st.sampled_from(["", "", "r", "robert"]), st.lists(st.sampled_from(["design", "legal", "media"]), max_size=2, unique=True), st.lists(_word, max_size=3), st.sampled_from(["", "", "", "", "legal group", "lega group", "a legal", "b legal"]))
+
+
+def _bent(body, data):
+    """A body that may have come out of another: a word shortened, letters dropped, words moved or lost, trades untold."""
+    out = {k: list(v) if isinstance(v, list) else v for k, v in body.items()}
+    for step in data.draw(st.lists(st.sampled_from(["short", "letter", "move", "lose", "untold", "fewer", "initial", "words"]), max_size=2)):
+        p = out["proper"]
+        i = data.draw(st.integers(0, max(len(p) - 1, 0)))
+        if step == "untold":
+            out["trades"] = []
+        elif step == "fewer":
+            out["trades"] = out["trades"][:1]
+        elif p and step == "short":
+            keep = data.draw(st.lists(st.booleans(), min_size=len(p[i]), max_size=len(p[i])))
+            p[i] = p[i][0] + "".join(x for x, k in zip(p[i][1:], keep[1:]) if k)
+        elif p and step == "letter":
+            at = data.draw(st.integers(0, len(p[i])))
+            p[i] = p[i][:at] + data.draw(st.sampled_from(["", "a", "t"])) + p[i][at + 1 :] or "a"
+        elif p and step == "move":
+            p.append(p.pop(i))
+        elif len(p) > 1 and step == "lose":
+            p.pop()
+        elif len(p) > 1 and step == "initial":
+            out["initial"], out["proper"] = p[1][0], p[:1]
+        elif p and step == "words":
+            out["words"] = list(p)
+    return out
+
+
+@settings(max_examples=2000, deadline=None)
+@given(_body, _body, st.booleans(), st.data())
+def test_whatever_errors_accept_shares_a_key(c, other, bent, data):
+    v = _bent(c, data) if bent else other
+    if v["raw"] and v["raw"] == c["raw"] or spellings.errors(v, c) is None:
+        return
+    assert {k for k, r in spellings._keys(v) if r & 2} & {k for k, r in spellings._keys(c) if r & 1}
+
+
 @pytest.mark.parametrize("a,b,same", [("jenny", "jennifer", True), ("bart", "bartholomew", True), ("chuck", "charles", True), ("robert", "richard", False), ("charlotte", "charles", False), ("jonathan", "jennifer", False)])
 def test_nicknames(a, b, same):
     assert spellings.nickname(a, b) == spellings.nickname(b, a) == same
